@@ -124,6 +124,16 @@ class PieceMemo(dict):
         return ids
 
 
+_MEMOS: dict[str, PieceMemo] = {}
+
+
+def piece_memo(tokenizer_path: str) -> PieceMemo:
+    """The memo of this Python worker, which outlives its tasks."""
+    if tokenizer_path not in _MEMOS:
+        _MEMOS[tokenizer_path] = PieceMemo(tokenizer_path)
+    return _MEMOS[tokenizer_path]
+
+
 _SEGMENTS = pa.schema([("part", pa.int64()), ("seg", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
 _SEGMENTS_DDL = "part long, seg long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 
@@ -138,7 +148,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seg, memo, end = TaskContext.get().partitionId(), 0, PieceMemo(tokenizer_path), array("I", [end_id]).tobytes()
+        part, seg, memo, end = TaskContext.get().partitionId(), 0, piece_memo(tokenizer_path), array("I", [end_id]).tobytes()
         held: list[bytes] = []
         keys: list[int | None] = []
         lengths: list[int] = []
