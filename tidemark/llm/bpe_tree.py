@@ -190,6 +190,16 @@ class _Memo(dict):
         return ids
 
 
+_ENCODERS: dict[tuple[str, str], TreeBpe] = {}
+
+
+def encoder(ranks_path: str, pattern: str) -> TreeBpe:
+    """The encoder of this Python worker, which outlives its tasks."""
+    if (ranks_path, pattern) not in _ENCODERS:
+        _ENCODERS[ranks_path, pattern] = TreeBpe(load_ranks(ranks_path), pattern)
+    return _ENCODERS[ranks_path, pattern]
+
+
 def encode_table(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = True) -> DataFrame:
     """Encode and decode the texts of ``docs`` (null: empty).
 
@@ -202,12 +212,8 @@ def encode_table(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
     if with_ids:
         fields += [("ids", pa.binary()), ("decoded", pa.binary())]
         ddl += ", ids binary, decoded binary"
-    held: list[TreeBpe] = []
-
     def rows(keys: list, texts: list) -> list:
-        if not held:
-            held.append(TreeBpe(load_ranks(ranks_path), pattern))
-        bpe, out = held[0], [keys, [], [], [], [], []]
+        bpe, out = encoder(ranks_path, pattern), [keys, [], [], [], [], []]
         names = bpe.names
         for text in texts:
             ids = bpe.encode(text)
