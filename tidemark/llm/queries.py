@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, hilbert_shards
+from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, hilbert_shards, pii_crf, pu_toxicity, secret_ledger
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def op3_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_toxicity.score_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.secret_table(table(spark, sf_dir, "documents"))
+
+
 def op8_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac_codes.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -29,6 +37,10 @@ def op9_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_hilbert_shards, op3_adaptive_quality, op8_dac_tokens, op9_tree_bpe)}
+def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.pii_table(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_hilbert_shards, op3_adaptive_quality, op5_pu_toxicity, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf)}
 
 ORACLE_SQL: dict[str, str] = {}
