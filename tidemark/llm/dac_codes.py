@@ -13,6 +13,7 @@ committed by task and work on any store that Spark reaches.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -35,7 +36,10 @@ _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 #: Tokens after which a segment is closed; a longer document has one of its own.
 SEGMENT_TOKENS = 1 << 18
 #: Distinct text pieces remembered by one Python worker, and the longest of them.
-MEMO_PIECES, MEMO_CHARS = 1_000_000, 40
+MEMO_PIECES, MEMO_CHARS = 1_500_000, 40
+
+#: A word of Latin letters whose case and normal form are plain, and marks after it.
+_LATIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?|]*)")
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -107,16 +111,47 @@ class PieceMemo(dict):
     """Ids (little-endian bytes) of a blank-separated piece, encoded on first sight.
 
     The tokenizer drops white space and never joins text across it, so a text's
-    ids are those of its pieces in turn.
+    ids are those of its pieces in turn. It also splits Latin letters from the
+    marks after them, so such a piece has the ids of its word and its marks. A
+    word of Latin letters goes to the tokenizer's model as it stands after the
+    steps before it: lower case, bytes written as the byte-level alphabet.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+        # The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from U+0100 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: 256 + i for i, b in enumerate(others)}
+
+    def whole(self, piece: str) -> bytes:
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            if len(word) <= MEMO_CHARS:
+                if len(self.words) >= MEMO_PIECES:
+                    self.words.clear()
+                self.words[word] = ids
+        return ids
+
+    def text(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        parts = _LATIN.fullmatch(piece)
+        if parts is None:
+            ids = self.whole(piece)
+        else:
+            marks = parts[2]
+            ids = self.word(parts[1].lower()) + (self[marks] if marks else b"")
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO_PIECES:
                 self.clear()
@@ -160,7 +195,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
         size = 0
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = b"".join(map(memo.__getitem__, text.split(" "))) + end if text else end
+                ids = memo.text(text) + end if text else end
                 held.append(ids)
                 keys.append(key)
                 lengths.append(len(ids) // 4)
