@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, hilbert_shards, pii_crf, pu_toxicity, secret_ledger
+from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, hilbert_shards, ngram_join, pii_crf, pu_toxicity, secret_ledger
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_join(table(spark, sf_dir, "documents"), 80)
+
+
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(table(spark, sf_dir, "documents"), 40)
 
@@ -41,6 +45,6 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.pii_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_hilbert_shards, op3_adaptive_quality, op5_pu_toxicity, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard, op2_hilbert_shards, op3_adaptive_quality, op5_pu_toxicity, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf)}
 
 ORACLE_SQL: dict[str, str] = {}
