@@ -4,7 +4,8 @@ Vectors of one label are spread over overlapping shards around centres that
 were fitted on a bounded sample. Each shard builds a graph: of a vector's
 nearest neighbours those stay that no kept one makes redundant (robust
 pruning). The adjacency lists of all shards are united, and every vector is
-searched in its home shard: a beam walks from the medoid towards it, then the
+searched in its home shard: a beam walks from the medoid and from its own place
+in the graph towards it, then the
 range is expanded over the graph while neighbours stay near the threshold.
 Links are verified in double precision, and an audit compares the counts of
 some vectors with brute force; where too few were found the search is widened.
@@ -105,6 +106,10 @@ def search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, beam: in
         beams = np.full((n, beam), -1, dtype=np.int64)
         scores = np.full((n, beam), -2.0)
         beams[:, 0], scores[:, 0] = medoid, sims[:, medoid]
+        # A vector is a node too: its own list is a second way in.
+        if beam > 1:
+            beams[:, 1], scores[:, 1] = np.where(part == medoid, -1, part), np.where(part == medoid, -2.0, 1.0)
+        seen[rows, part], sims[rows, part] = True, 1.0
         while len(active):
             b, s = beams[active], scores[active]
             open_ = (b >= 0) & ~done[active[:, None], np.maximum(b, 0)]

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -166,18 +167,24 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def score_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``.
-
-    Null and empty texts get the score of a text without words; a null doc_id
-    counts as not held out; repeated rows are scored each.
-    """
+def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[str], Column]:
+    """A function from a text column to its score, by a model learned from ``docs``."""
     model = learn(docs, labels)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score(t) for t in texts], dtype=float)
 
+    return score
+
+
+def score_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``.
+
+    Null and empty texts get the score of a text without words; a null doc_id
+    counts as not held out; repeated rows are scored each.
+    """
+    score = scorer(docs, labels)
     key = F.col("doc_id").cast("long")
     scored = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= CUTOFF, 1).otherwise(0).cast("int"))

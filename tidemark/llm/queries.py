@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, hilbert_shards, ngram_join, pii_crf, pu_toxicity, secret_ledger
+from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, flat_graph, hilbert_shards, ngram_join, pii_crf, pu_toxicity, secret_ledger, soft_mixing
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +25,23 @@ def op3_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_toxicity.score_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Shares of tokens by domain.
+TARGETS = {"clean": 0.94, "junk": 0.03, "toxic": 0.03}
+
+
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = soft_mixing.label_domains(table(spark, sf_dir, "labels"))
+    return soft_mixing.mix(table(spark, sf_dir, "documents"), labelled, TARGETS, keep="clean")
+
+
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.secret_table(table(spark, sf_dir, "documents"))
 
@@ -45,6 +58,6 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.pii_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard, op2_hilbert_shards, op3_adaptive_quality, op5_pu_toxicity, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard, op2_hilbert_shards, op3_adaptive_quality, op4_flat_graph, op5_pu_toxicity, op6_soft_mixing, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf)}
 
 ORACLE_SQL: dict[str, str] = {}
