@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 #: Fixed value of the contract: scores from here on count as toxic.
 CUTOFF = 0.3
 #: Bounds of the training sample: confirmed toxic rows, and unlabelled rows.
-MAX_POSITIVE, MAX_UNLABELLED = 3000, 6000
+MAX_POSITIVE, MAX_UNLABELLED = 2000, 5000
 #: Share of the confirmed toxic rows (and rows at least) that must hold a word for it to be a feature.
 LEAST_SHARE, LEAST_DOCS = 0.02, 5
 
@@ -40,12 +40,12 @@ def share(n: int, total: int) -> float:
     return min(1.0, 60.0 * n / total) ** 0.5
 
 
-def features(text: str | None) -> dict[int, float]:
-    """Checksums of a text's words, each with its damped share of the text."""
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Checksums of a text's words, and the damped share of the text that each has."""
     words = _WORD.findall((text or "").lower().encode())
-    if not words:
-        return {}
-    return {zlib.crc32(w): share(n, len(words)) for w, n in Counter(words).items()}
+    counts = Counter(words)
+    keys = np.fromiter(map(zlib.crc32, counts), dtype=np.int64, count=len(counts))
+    return keys, np.array([share(n, len(words)) for n in counts.values()], dtype=np.float32)
 
 
 class Model:
@@ -69,20 +69,22 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(text) + shift, -30, 30))))
 
 
-def fit(positive: list[dict[int, float]], unlabelled: list[dict[int, float]], prior: float, rounds: int = 120, rate: float = 0.25, decay: float = 1e-4) -> Model:
+Rows = list[tuple[np.ndarray, np.ndarray]]
+
+
+def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 120, rate: float = 0.25, decay: float = 1e-4) -> Model:
     """Minimise the non-negative risk by Adam over the whole sample."""
-    docs = positive + unlabelled
-    seen = Counter(k for d in positive for k in d)
-    least = max(LEAST_DOCS, LEAST_SHARE * len(positive))
-    index = {k: i for i, k in enumerate(sorted(k for k, n in seen.items() if n >= least))}
-    if not index or not positive:
+    docs = [*positive, *unlabelled]
+    keys, seen = np.unique(np.concatenate([k for k, _ in positive]) if positive else np.zeros(0, np.int64), return_counts=True)
+    keys = keys[seen >= max(LEAST_DOCS, LEAST_SHARE * len(positive))]
+    if not len(keys) or not unlabelled:
         return Model({}, -5.0)
-    rows = np.concatenate([np.full(len(d), i) for i, d in enumerate(docs)]).astype(np.int64)
-    cols = np.fromiter((index.get(k, -1) for d in docs for k in d), dtype=np.int64, count=len(rows))
-    vals = np.fromiter((v for d in docs for v in d.values()), dtype=float, count=len(rows))
-    keep = cols >= 0
+    rows = np.repeat(np.arange(len(docs)), [len(k) for k, _ in docs])
+    found, vals = np.concatenate([k for k, _ in docs]), np.concatenate([v for _, v in docs]).astype(float)
+    cols = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+    keep = keys[cols] == found
     rows, cols, vals = rows[keep], cols[keep], vals[keep]
-    n_p, n, m = len(positive), len(docs), len(index)
+    n_p, n, m = len(positive), len(docs), len(keys)
     w, b = np.zeros(m), -2.0
     mean, square = np.zeros(m + 1), np.zeros(m + 1)
     sigmoid = lambda z: 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
@@ -104,7 +106,7 @@ def fit(positive: list[dict[int, float]], unlabelled: list[dict[int, float]], pr
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         w -= move[:-1]
         b -= move[-1]
-    return Model({k: float(w[i]) for k, i in index.items() if abs(w[i]) > 1e-6}, float(b))
+    return Model({int(k): float(v) for k, v in zip(keys, w) if abs(v) > 1e-6}, float(b))
 
 
 def operating_point(toxic: list[float], clean: list[float], prior: float) -> float:
@@ -125,12 +127,13 @@ def operating_point(toxic: list[float], clean: list[float], prior: float) -> flo
     return at
 
 
-_FEATURES = T.MapType(T.LongType(), T.DoubleType())
+_SAMPLE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("k", T.ArrayType(T.LongType())), T.StructField("v", T.ArrayType(T.FloatType()))])
 
 
-@F.pandas_udf(_FEATURES)
-def _features(texts: pd.Series) -> pd.Series:
-    return texts.map(features)
+def _sampled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        found = [features(t) for t in frame["text"]]
+        yield pd.DataFrame({"kind": frame["kind"], "k": [k for k, _ in found], "v": [v for _, v in found]})
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
@@ -153,15 +156,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     # Bounded by the sample sizes.
     chosen = marked.select("doc_id", F.lit("p").alias("kind")).unionByName(clean.select("doc_id", F.lit("n").alias("kind"))).unionByName(free.select("doc_id", F.lit("u").alias("kind")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("kind", _features("text").alias("f")).toPandas()
-    sets = {kind: [dict(f) for f in part["f"]] for kind, part in rows.groupby("kind")}
+    rows = texts.select("kind", "text").mapInPandas(_sampled, _SAMPLE).toArrow().combine_chunks()
+    sets: dict[str, Rows] = {}
+    keys, vals = (rows.column(c).combine_chunks() for c in ("k", "v"))
+    for kind, a, b in zip(rows.column("kind").to_pylist(), keys.offsets.to_pylist(), keys.offsets.to_pylist()[1:]):
+        sets.setdefault(kind, []).append((keys.values[a:b].to_numpy(), vals.values[a:b].to_numpy()))
     positive, unlabelled = sets.get("p", []), sets.get("u", [])
     if not unlabelled:  # a wholly labelled table: its own rows, without their labels, are the unlabelled text
         unlabelled = sets.get("n", []) + positive
     model = fit(positive, unlabelled, prior)
 
-    def margin(f: dict[int, float]) -> float:
-        return model.bias + sum(v * model.weights.get(k, 0.0) for k, v in f.items())
+    def margin(row: tuple[np.ndarray, np.ndarray]) -> float:
+        return model.bias + sum(v * model.weights.get(k, 0.0) for k, v in zip(row[0].tolist(), row[1].tolist()))
 
     model.point = operating_point([margin(f) for f in positive], [margin(f) for f in sets.get("n", [])], prior)
     return model
