@@ -37,7 +37,7 @@ LONG_LIST, MAX_LONG = 24, 200_000
 #: Rounds of comparing with a list's head.
 HEAD_ROUNDS = 2
 #: Words remembered by one Python worker.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 250_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
