@@ -1,0 +1,299 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from tests.llm import data
+from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, hilbert_shards, ngram_join, pii_crf, secret_ledger
+
+BLANK = "[\x20\x09-\x0d]"
+
+
+# -- similarity join --------------------------------------------------------
+
+
+def brute_join(texts, percent=80):
+    sets, up = {}, {}
+    for i, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.setdefault(i, set()).add(frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+        up[i] = i
+
+    def root(i):
+        return i if up[i] == i else root(up[i])
+
+    keys = sorted(sets)
+    for a in keys:
+        for b in keys:
+            if a < b and any(s and t and 100 * len(s & t) >= percent * len(s | t) for s in sets[a] for t in sets[b]):
+                p, q = sorted((root(a), root(b)))
+                up[q] = p
+    return {i: root(i) for i in keys}, {i: max(len(s) for s in v) for i, v in sets.items()}
+
+
+@pytest.mark.parametrize("long_list", [1, 24])
+def test_join_equals_brute_force(spark, monkeypatch, long_list):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
+    rnd = random.Random(long_list)
+    texts = data.odd_texts()
+    for g in range(6):  # chains: neighbours are near, ends are not
+        words = data.prose(rnd, 150, 9000).split(" ")
+        for k in range(5):
+            texts.append((100 + 10 * g + k, " ".join(words)))
+            for _ in range(2):
+                words[rnd.randrange(150)] = f"z{rnd.randrange(99)}"
+    got = ngram_join.similarity_join(data.frame(spark, texts)).collect()
+    component, size = brute_join(texts)
+    assert len(got) == len(texts)
+    assert {r.doc_id: r.component_id for r in got} == component and {r.doc_id: r.n_shingles for r in got} == size
+
+
+def test_join_of_null_ids_and_empty_tables(spark):
+    got = ngram_join.similarity_join(data.frame(spark, [(None, "a b c d e f"), (1, "a b c d e f")])).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(None, 2, None), (1, 2, 1)}
+    assert ngram_join.similarity_join(data.frame(spark, [])).count() == 0
+
+
+# -- shards -----------------------------------------------------------------
+
+
+def test_hilbert_curve_visits_every_cell_by_single_steps():
+    for dims, bits in ((2, 3), (3, 2)):
+        side = 1 << bits
+        cells = np.stack(np.meshgrid(*[np.arange(side)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)
+        index = hilbert_shards.hilbert_index(cells, bits)
+        assert sorted(index) == list(range(side**dims))
+        path = cells[np.argsort(index)]
+        assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_shards_are_even_gapless_and_in_curve_order(spark):
+    texts = data.odd_texts()
+    got = hilbert_shards.shards(data.frame(spark, texts), 7).collect()
+    assert len(got) == len(texts) and {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+    sizes = Counter(r.shard for r in got)
+    assert set(sizes) == set(range(7)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in range(7):
+        mine = sorted((r for r in got if r.shard == s), key=lambda r: r.slot)
+        assert [r.slot for r in mine] == list(range(len(mine)))
+    order = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.hilbert for r in order] == sorted(r.hilbert for r in got)
+    by = dict(texts)
+    assert all(r.size == len((by[r.doc_id] or "").encode()) + 16 and r.text_crc32 == zlib.crc32((by[r.doc_id] or "").encode()) for r in got)
+    assert hilbert_shards.shards(data.frame(spark, []), 7).count() == 0
+
+
+# -- quality ----------------------------------------------------------------
+
+
+def brute_measures(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines, seen, dup = t.split("\n"), set(), 0
+    for line in lines:
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(zip(w, w[1:], w[2:]))
+    marked = {i + k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(marked)
+
+
+def test_quality_counts_and_verdicts(spark):
+    texts = data.odd_texts()
+    got = adaptive_quality.judge(data.frame(spark, texts)).collect()
+    by = dict(texts)
+    assert len(got) == len(texts)
+    for r in got:
+        want = brute_measures(by[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r.kept and r.base_failed)
+    kept = {r.doc_id for r in got if r.kept}
+    assert {5, 6, 7, 10, 11, 60} <= kept and not {0, 1, 62, 63} & kept
+    assert adaptive_quality.judge(data.frame(spark, [])).count() == 0
+
+
+def test_thresholds_follow_their_group(spark):
+    """What is usual in one source is an outlier in another."""
+    rnd = random.Random(4)
+    texts = [(i, " ".join(w + ("##" if i % 2 else "") for w in data.prose(rnd, 80).split(" "))) for i in range(900)] + [(2000, " ".join(w + "##" for w in data.prose(rnd, 80).split(" ")))]
+    got = {r.doc_id: r.kept for r in adaptive_quality.judge(data.frame(spark, texts)).collect()}
+    assert not got[2000] and all(got[i] for i in range(900))
+
+
+# -- secrets ----------------------------------------------------------------
+
+_ASSIGN = re.compile("((?:" + "|".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key")) + r"))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+def brute_secrets(t):
+    t = t or ""
+    found = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(t) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def secret_texts():
+    rnd = random.Random(6)
+    pieces = ["token", "Secret", "=", ":", " ", '"', "'", "abc", "abcdef", "0123456789ab", "AKIA", "ABCDEFGH12345678", "é", "😀", "\n", "api_key", "PASSWD", "zz.=", "ſecret", "ab"]
+    return [(i, "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 40)))) for i in range(1500)] + [(5000, None), (5001, ""), (5002, "token=abcdef"), (5002, "token=abcdef"), (5003, "f" * 30_000)]
+
+
+def test_secrets_equal_brute_force(spark):
+    texts = secret_texts()
+    by = dict(texts)
+    kinds = ("assign", "access", "hex")
+    got = secret_ledger.secret_table(data.frame(spark, texts)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = brute_secrets(by[r.doc_id])
+        text = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in want)
+        assert r.spans == text and r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in want) for k in range(3))
+    assert secret_ledger.secret_table(data.frame(spark, [])).count() == 0
+
+
+def test_ledger_scans_only_what_is_new(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    docs = data.frame(spark, [(1, "token=abcdef"), (2, "token=abcdef"), (3, None), (4, "")])
+    assert secret_ledger.scan(docs, path) == 6  # two blobs, three rules
+    assert secret_ledger.scan(docs, path) == 0
+    assert secret_ledger.scan(docs.union(data.frame(spark, [(5, "new")])), path) == 3
+    newer = (*secret_ledger.RULES[:2], secret_ledger.Rule("hex", "2", "[0-9a-f]+", 0, 40))
+    assert secret_ledger.scan(docs, path, newer) == 2
+    assert {r.doc_id for r in secret_ledger.secret_table(docs, path).where("n_assign = 1").collect()} == {1, 2}
+
+
+def test_masking_keeps_everything_else(spark):
+    docs = data.frame(spark, [(1, "é token=abcdef0123456789abcdef0123456789 end"), (2, "plain"), (3, None)])
+    got = {r.doc_id: (r.text, r.n_chars) for r in secret_ledger.redact(docs).collect()}
+    assert got == {1: ("é [secret] end", 14), 2: ("plain", 5), 3: (None, None)}
+    assert secret_ledger.redact(docs).columns == docs.columns
+
+
+# -- token files ------------------------------------------------------------
+
+
+@pytest.mark.parametrize("ids", [[], [0], [255, 256, 65535, 65536, 2**32 - 1], list(range(0, 70000, 7))])
+def test_codes_give_random_access(ids):
+    seg = dac_codes.Segment(dac_codes.pack(np.array(ids, dtype=np.uint32)))
+    assert seg.all().tolist() == ids and len(seg) == len(ids)
+    for i in random.Random(1).sample(range(len(ids)), min(200, len(ids))):
+        assert seg[i] == ids[i]
+    with pytest.raises(IndexError):
+        seg[len(ids)]
+
+
+def test_token_table_equals_the_library(spark, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    texts = sorted({i: x for i, x in data.odd_texts()}.items()) + [(200, "<|endoftext|> Σas İx ﬁ K\x1cq don't é́")]
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in dac_codes.token_table(data.frame(spark, texts), path, 2).collect()}
+    start = 0
+    for i, x in texts:
+        ids = np.array(t.encode(x or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        assert got[i] == (start, len(ids), zlib.crc32(ids.tobytes())), i
+        start += len(ids)
+    assert dac_codes.token_table(data.frame(spark, []), path, 2).count() == 0
+
+
+# -- tree BPE ---------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe_tree.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def test_every_token_encodes_to_itself(ranks):
+    bpe = bpe_tree.TreeBpe(ranks, public_tokenizers.PATTERN)
+    assert all(bpe.merge(token) == [rank] for token, rank in ranks.items())
+
+
+def test_tree_equals_the_library(ranks, monkeypatch):
+    monkeypatch.setattr(bpe_tree, "LEAF_CHARS", 7)
+    monkeypatch.setattr(bpe_tree, "LEAF_BYTES", 3)
+    bpe = bpe_tree.TreeBpe(ranks, public_tokenizers.PATTERN)
+    lib = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(3)
+    pieces = ["a", "b", " ", "  ", "\n", "'", "'r", "e", "re", "'ll", "1", "22", "é", "日", "!", "!!", "\t", "the", "aaaaaaa", "   ", "ve", "s", "\x1c", "\x85", "\xa0", " ", "\r"]
+    for _ in range(4000):
+        x = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 60)))
+        ids = bpe.encode(x)
+        assert ids == lib.encode_ordinary(x) and bpe.decode(ids) == x.encode(), x
+
+
+def test_bpe_table(spark, ranks):
+    lib = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = data.odd_texts()
+    by = dict(texts)
+    got = bpe_tree.encode_table(data.frame(spark, texts), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = lib.encode_ordinary(by[r.doc_id] or "")
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert bytes(r.decoded) == (by[r.doc_id] or "").encode() and r.decoded_sha256 == hashlib.sha256(bytes(r.decoded)).hexdigest()
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids
+
+
+# -- personal data ----------------------------------------------------------
+
+_PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_pii(x):
+    out = []
+    for kind, pattern in _PII.items():
+        for m in re.finditer(pattern, x or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card":
+                total = sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(digits)))
+                if not 13 <= len(digits) <= 19 or total % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+def test_pii_equals_brute_force(spark):
+    rnd = random.Random(8)
+    pieces = ["a", "b.", "@", ".", "1", "23", "4111111111111111", " ", "-", "+", "+1", "(", "255", "c-", "%", "\n", "@e.f", "1.2", "é"]
+    texts = [(i, "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 25)))) for i in range(4000)] + [(9000, None), (9001, ""), (9002, "1" * 60_000), (9003, "a" * 60_000 + "@")]
+    by = dict(texts)
+    for r in pii_crf.pii_table(data.frame(spark, texts)).collect():
+        base = brute_pii(by[r.doc_id])
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest(), by[r.doc_id]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in base) for k in _PII)
+        assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
+    assert pii_crf.pii_table(data.frame(spark, [])).count() == 0
+
+
+def test_field_adds_what_patterns_miss_and_leaves_clean_text_alone():
+    crf = pii_crf.train()
+    hit, clean, base = pii_crf.find(crf, ["please phone 312-555-0123 or come by", "in 1987 about 350 of the 2000 seats at 7:45", "mail a.b@example.com now"])
+    assert hit == ([], [("phone", 13, 25)]) and clean == ([], []) and base[0] == base[1] == [("email", 5, 20)]
+
+
+def test_viterbi_equals_brute_force():
+    crf = pii_crf.train()
+    rnd = np.random.default_rng(2)
+    import itertools
+
+    batch = rnd.normal(size=(3, 4, len(pii_crf.TAGS)))
+    for scores, path in zip(batch, crf.decode(batch)):
+        value = lambda p: sum(scores[t, k] for t, k in enumerate(p)) + sum(crf.step[a, b] for a, b in zip(p, p[1:]))
+        best = max(itertools.product(range(len(pii_crf.TAGS)), repeat=4), key=value)
+        assert tuple(path) == best
