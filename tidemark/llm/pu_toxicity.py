@@ -27,6 +27,9 @@ MAX_POSITIVE, MAX_UNLABELLED = 2000, 5000
 #: Share of the confirmed toxic rows (and rows at least) that must hold a word for it to be a feature.
 LEAST_SHARE, LEAST_DOCS = 0.02, 5
 
+#: Bytes of a word's beginning that are a feature of their own.
+START = 4
+
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -40,12 +43,21 @@ def share(n: int, total: int) -> float:
     return min(1.0, 60.0 * n / total) ** 0.5
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Checksums of a text's words, and the damped share of the text that each has."""
+def counted(text: str | None) -> tuple[list[tuple[bytes, int]], int]:
+    """A text's words and the beginnings of its longer words, each with its number, and the number of words."""
     words = _WORD.findall((text or "").lower().encode())
-    counts = Counter(words)
-    keys = np.fromiter(map(zlib.crc32, counts), dtype=np.int64, count=len(counts))
-    return keys, np.array([share(n, len(words)) for n in counts.values()], dtype=np.float32)
+    counts, starts = Counter(words), Counter()
+    for word, n in counts.items():
+        if len(word) > START:
+            starts[b"^" + word[:START]] += n
+    return [*counts.items(), *starts.items()], len(words)
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Checksums of what ``counted`` gives, and the damped share of the text that each has."""
+    counts, total = counted(text)
+    keys = np.fromiter((zlib.crc32(w) for w, _ in counts), dtype=np.int64, count=len(counts))
+    return keys, np.array([share(n, total) for _, n in counts], dtype=np.float32)
 
 
 class Model:
@@ -55,12 +67,12 @@ class Model:
         self.weights, self.bias, self.point = weights, bias, point
 
     def margin(self, text: str | None) -> float:
-        words = _WORD.findall((text or "").lower().encode())
+        counts, total = counted(text)
         z, get = self.bias, self.weights.get
-        for word, n in Counter(words).items():
+        for word, n in counts:
             weight = get(zlib.crc32(word))
             if weight:
-                z += weight * share(n, len(words))
+                z += weight * share(n, total)
         return z
 
     def score(self, text: str | None) -> float:
@@ -72,7 +84,7 @@ class Model:
 Rows = list[tuple[np.ndarray, np.ndarray]]
 
 
-def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 120, rate: float = 0.25, decay: float = 1e-4) -> Model:
+def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 200, rate: float = 0.25, decay: float = 1e-4) -> Model:
     """Minimise the non-negative risk by Adam over the whole sample."""
     docs = [*positive, *unlabelled]
     keys, seen = np.unique(np.concatenate([k for k, _ in positive]) if positive else np.zeros(0, np.int64), return_counts=True)
