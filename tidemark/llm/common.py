@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,5 +60,23 @@ def map_columns(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str,
     return df.select(*columns).mapInArrow(run, ddl)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(top.rglob("*.py")):
+            out.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
