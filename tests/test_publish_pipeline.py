@@ -35,12 +35,12 @@ def test_manifest_notes_and_integrity(spark, tmp_path):
     file.write_bytes(b"abc" * 1000)
     core = P.integrity(str(file), {"t": spark.range(3)}, True)
     assert core["db_sha256"] == hashlib.sha256(b"abc" * 1000).hexdigest() and core["tables"] == {"t": 3} and isinstance(core["db_bytes"], float)
-    P.write_manifest(str(tmp_path), m, core)
-    back = P.read_manifest(str(tmp_path))
+    P.write_manifest(spark, str(tmp_path), m, core)
+    back = P.read_manifest(spark, str(tmp_path))
     assert back["tag"] == "v20240102-030405" and back["complete"] is True and back["shards"]["a"] == {"rows": 1}
     text = P.notes(m)
     assert "2024-01-02 03:04:05 UTC" in text and "n/a" in text and text.index("| a |") < text.index("| b |") and "Changed: b" in text
-    assert "none" in P.notes({**m, "changed_shards": []}) and P.read_manifest(str(tmp_path / "no")) is None
+    assert "none" in P.notes({**m, "changed_shards": []}) and P.read_manifest(spark, str(tmp_path / "no")) is None
 
 
 def test_sqlite_export(spark, tmp_path):
@@ -83,7 +83,7 @@ CHANNELS, FLOORS = [Channel("main", "x")], Floors(1, 1)
 
 
 def table(spark, folder, name):
-    return spark.read.parquet(os.path.join(folder, P.read_manifest(folder)["snapshot"], name))
+    return spark.read.parquet(os.path.join(folder, P.read_manifest(spark, folder)["snapshot"], name))
 
 
 def test_cold_run_then_revision_then_heartbeat(spark, tmp_path):
@@ -122,7 +122,7 @@ def test_runs_without_ledgers(spark, tmp_path):
 def test_history_is_protected_and_cold_runs_must_find_something(spark, tmp_path):
     src = Source(spark)
     L.refresh(spark, src.io(), str(tmp_path), CHANNELS, floors=FLOORS)
-    snapshot = P.read_manifest(str(tmp_path))["snapshot"]
+    snapshot = P.read_manifest(spark, str(tmp_path))["snapshot"]
     os.rename(tmp_path / snapshot / "facts", tmp_path / "gone")
     with pytest.raises(L.RunAborted, match="facts"):
         L.refresh(spark, src.io(), str(tmp_path), CHANNELS, floors=FLOORS)
@@ -136,7 +136,7 @@ def test_backfill_is_complete_or_nothing(spark, tmp_path):
     src.broken = [("r-bioc-b", "1")]
     with pytest.raises(L.RunAborted, match="could not be read"):
         L.backfill(spark, src.io(), str(tmp_path / "a"), CHANNELS, FLOORS)
-    assert P.read_manifest(str(tmp_path / "a")) is None
+    assert P.read_manifest(spark, str(tmp_path / "a")) is None
     m = L.backfill(spark, src.io(), str(tmp_path / "b"), CHANNELS, FLOORS, require_complete=False)
     assert m["summary"]["packages"] == 1
     assert {(r.artifact, r.release, r.done, r.n_total) for r in table(spark, str(tmp_path / "b"), "releases").collect()} == {("r-cran-abc", "1", True, 5), ("r-cran-abc", "2", True, 7), ("r-bioc-b", "1", False, None)}

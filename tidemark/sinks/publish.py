@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.daily import coverage
 from tidemark.schemas import require_key
+from tidemark.sinks.files import read_text, write_text
 
 MANIFEST = "_MANIFEST.json"
 
@@ -77,21 +78,20 @@ def manifest(now: datetime.datetime, kind: str, channels: list[str], changed: li
     }
 
 
-def write_manifest(folder: str, content: dict, core: dict | None = None) -> str:
+def write_manifest(spark: SparkSession, folder: str, content: dict, core: dict | None = None) -> str:
     """Write the manifest by a rename, after everything that it names is in place."""
-    path = os.path.join(folder, MANIFEST)
-    with open(f"{path}.new", "w", encoding="utf-8") as f:
-        json.dump({**content, **(core or {})}, f, indent=2)
-    os.replace(f"{path}.new", path)
+    path = f"{folder.rstrip('/')}/{MANIFEST}"
+    write_text(spark, path, json.dumps({**content, **(core or {})}, indent=2))
     return path
 
 
-def read_manifest(folder: str) -> dict | None:
-    path = os.path.join(folder, MANIFEST)
-    if not os.path.exists(path):
-        return None
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+def read_manifest(spark: SparkSession, folder: str) -> dict | None:
+    text = read_text(spark, f"{folder.rstrip('/')}/{MANIFEST}")
+    return None if text is None else json.loads(text)
+
+
+def write_notes(spark: SparkSession, path: str, content: dict) -> None:
+    write_text(spark, path, notes(content))
 
 
 def notes(content: dict) -> str:
@@ -127,9 +127,3 @@ def export_sqlite(path: str, tables: dict[str, DataFrame], indexes: dict[str, st
     db.execute("vacuum")
     db.close()
     os.replace(new, path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, on any store that Spark reaches."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
