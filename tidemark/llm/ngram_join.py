@@ -37,7 +37,9 @@ LONG_LIST, MAX_LONG = 24, 200_000
 #: Rounds of comparing with a list's head.
 HEAD_ROUNDS = 2
 #: Words remembered by one Python worker.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
+#: Documents that a task holds as Python objects at a time.
+SLICE = 500
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -82,6 +84,12 @@ def short_lists(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
@@ -91,7 +99,7 @@ def _sketches(docs: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("short", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
             sigs = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             heads = [s[: short_lists(len(s), percent)] if len(s) else s for s in sets]
@@ -104,7 +112,7 @@ def _full_sets(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("x", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingle_set(t) for t in batch.column(1).to_pylist()])], schema=schema)
 
     return texts.select("x", "text").mapInArrow(run, "x long, shingles array<long>")
@@ -176,7 +184,7 @@ def _later_lists(texts: DataFrame, long: np.ndarray, percent: int) -> DataFrame:
     schema = pa.schema([("x", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("is_long", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             for x, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingle_set(text)
                 k = short_lists(len(s), percent)
