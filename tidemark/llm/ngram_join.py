@@ -84,6 +84,11 @@ def short_lists(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def begin(n: int, percent: int) -> int:
+    """Shingles kept of a set: its short lists, and some that may take the place of long ones among them."""
+    return min(n, short_lists(n, percent) + n // 10 + 16)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):
@@ -102,7 +107,7 @@ def _sketches(docs: DataFrame, percent: int) -> DataFrame:
         for batch in _slices(batches):
             sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
             sigs = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            heads = [s[: short_lists(len(s), percent)] if len(s) else s for s in sets]
+            heads = [s[: begin(len(s), percent)] for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), _lists(heads)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, sig binary, short array<long>")
@@ -179,24 +184,47 @@ def _probe(docs: DataFrame, pairs: DataFrame, shorts: DataFrame, percent: int) -
     return cut(open_pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "join-links")
 
 
-def _later_lists(texts: DataFrame, long: np.ndarray, percent: int) -> DataFrame:
-    """For documents with long lists among their first: the lists that take their place (x, n, s, is_long)."""
-    schema = pa.schema([("x", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("is_long", pa.bool_())])
+_LATER = pa.schema([("x", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("is_long", pa.bool_())])
+_LATER_DDL = "x long, n long, s long, is_long boolean"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _later(x: int, n: int, known: np.ndarray, long: np.ndarray, percent: int) -> pa.RecordBatch | None:
+    """The lists that take the place of a document's long ones; one null row if its known shingles are too few to tell."""
+    k = short_lists(n, percent)
+    late = long[np.minimum(np.searchsorted(long, known), len(long) - 1)] == known
+    if not late[:k].any():
+        return None
+    first = np.flatnonzero(~late)[:k]
+    if len(first) < k and len(known) < n:
+        return pa.RecordBatch.from_arrays([pa.array([x]), pa.array([n]), pa.array([None], pa.int64()), pa.array([None], pa.bool_())], schema=_LATER)
+    order = np.concatenate([first, np.flatnonzero(late)])[:k]
+    new = order[(order >= k) | late[order]]
+    return pa.RecordBatch.from_arrays([pa.array([x] * len(new), pa.int64()), pa.array([n] * len(new), pa.int64()), pa.array(known[new]), pa.array(late[new])], schema=_LATER) if len(new) else None
+
+
+def _later_lists(docs: DataFrame, shorts: DataFrame, slowed: DataFrame, long: np.ndarray, percent: int) -> DataFrame:
+    """For documents with long lists among their first: the lists that take their place (x, n, s, is_long).
+
+    Most are told from the beginnings of their sets; the others' texts are read again.
+    """
+
+    def from_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, n, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _arrays(batch.column(2))):
+                if (out := _later(x, n, known, long, percent)) is not None:
+                    yield out
+
+    def from_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             for x, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = shingle_set(text)
-                k = short_lists(len(s), percent)
-                late = long[np.minimum(np.searchsorted(long, s), len(long) - 1)] == s
-                if not late[:k].any():
-                    continue
-                order = np.concatenate([np.flatnonzero(~late), np.flatnonzero(late)])[:k]
-                new = order[(order >= k) | late[order]]
-                if len(new):
-                    yield pa.RecordBatch.from_arrays([pa.array([x] * len(new), pa.int64()), pa.array([len(s)] * len(new), pa.int64()), pa.array(s[new]), pa.array(late[new])], schema=schema)
+                whole = shingle_set(text)
+                if len(whole) and (out := _later(x, len(whole), whole, long, percent)) is not None:
+                    yield out
 
-    return texts.select("x", "text").mapInArrow(run, "x long, n long, s long, is_long boolean")
+    told = cut(shorts.join(sized(slowed), "x", "left_semi").select("x", "n", "short").mapInArrow(from_sets, _LATER_DDL), "join-later")
+    open_ids = cut(told.where("s is null").select("x").distinct(), "join-slowed")
+    again = cut(_texts_of(docs, open_ids).select("x", "text").mapInArrow(from_texts, _LATER_DDL), "join-later")
+    return told.where("s is not null").unionByName(again)
 
 
 def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -213,7 +241,8 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = cut(linkable.select("doc_id", "sig").distinct().join(firsts, "sig").where("doc_id <> rep").select("doc_id", "sig", "rep"), "join-copies")
     copies = sized(classes.select("doc_id", "sig"))
     shorts = linkable.join(copies, ["doc_id", "sig"], "left_anti").select(F.col("doc_id").alias("x"), "n", "short")
-    postings = shorts.select("x", "n", F.explode("short").alias("s"))
+    k = F.expr(f"cast(n - (({percent} * n + 99) div 100) + 1 as int)")
+    postings = shorts.select("x", "n", F.explode(F.slice("short", F.lit(1), k)).alias("s"))
 
     spread = cut(postings.groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi").select("s"), "join-spread")
     lists = cut(postings.join(spread, "s").select("s", "x", "n"), "join-lists")
@@ -222,8 +251,8 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     links = classes.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))  # equal sets
     tried, found = None, None
     groups = lists.withColumn("g", F.col("x"))
-    for k in range(HEAD_ROUNDS):
-        rank = F.struct((F.col("x") if k == 0 else F.xxhash64("x", F.lit(k))).alias("r"), F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    for turn in range(HEAD_ROUNDS):
+        rank = F.struct((F.col("x") if turn == 0 else F.xxhash64("x", F.lit(turn))).alias("r"), F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
         heads = cut(groups.groupBy("s").agg(F.min(rank).alias("head"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("s", "head.*"), "join-heads")
         mixed = groups.join(heads, "s").where("g <> gb").select(F.col("x").alias("a"), "b", F.col("n").alias("na"), "nb")
         pairs = mixed.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -242,7 +271,7 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     if len(long):
         longs = docs.sparkSession.createDataFrame([(int(v),) for v in long], "s long")
         slowed = cut(lists.join(F.broadcast(longs), "s", "left_semi").select("x").distinct(), "join-slowed")
-        later = cut(_later_lists(_texts_of(docs, slowed), long, percent), "join-later")
+        later = _later_lists(docs, shorts, slowed, long, percent)
         keys = sized(cut(later.where("not is_long").select("s").distinct(), "join-keys"))
         met = cut(postings.join(keys, "s", "left_semi").select("s", "x", "n").unionByName(later.select("s", "x", "n")), "join-met")
         apart = met.groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi").select("s")
