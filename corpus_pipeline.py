@@ -28,11 +28,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays, that of the smallest doc_id; rows without an id stay."""
+    """One document of each component of near copies stays, that of the smallest doc_id.
+
+    Of several rows of one doc_id one stays; rows without an id all stay.
+    """
     joined = ngram_join.similarity_join(docs, 80)
     gone = cut(joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "pipeline-gone")
     kept = docs.join(ngram_join.sized(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept.dropDuplicates(["doc_id"]) if _repeated(joined) else kept
+    if not _repeated(joined):
+        return kept
+    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
 
 
 def _repeated(joined: DataFrame) -> bool:
