@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import cut
-from tidemark.llm.links import components
+from tidemark.llm.links import components, sized
 
 #: Rows of a shard that are aimed at; labels of no more rows have one shard.
 SHARD_ROWS = 2500
+#: Rows of a graph at most, and of queries in a task: a larger shard (one dense group, say) is dealt into blocks, and its queries meet every block.
+BLOCK_ROWS = 8000
 #: Rows that centres are fitted on, over all labels, and rows of the sample for a centre.
 SAMPLE_ROWS, ROWS_PER_CENTRE = 20_000, 8
 #: A vector joins every shard whose centre is at most this much less similar than its home's, and the second nearest.
@@ -86,8 +88,8 @@ def build(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, beam: int, threshold: float) -> list[np.ndarray]:
-    """Positions of similarity ``threshold`` or more for each query position, itself left out."""
+def search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, own: np.ndarray, beam: int, threshold: float) -> list[np.ndarray]:
+    """Positions of similarity ``threshold`` or more for each query vector, its own position (-1: none) left out."""
     m = len(x)
     medoid = int((x @ x.mean(axis=0)).argmax())
     width = max((len(g) for g in graph), default=0)
@@ -97,8 +99,8 @@ def search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, beam: in
     found = []
     size = max(1, min(256, 8_000_000 // m))
     for a in range(0, len(queries), size):
-        part = queries[a : a + size]
-        q, n = x[part], len(part)
+        q, part = queries[a : a + size], own[a : a + size]
+        n = len(q)
         seen, done, sims = np.zeros((n, m), dtype=bool), np.zeros((n, m), dtype=bool), np.full((n, m), -2.0)
         rows = np.arange(n)
         seen[:, medoid], sims[:, medoid] = True, q @ x[medoid]
@@ -106,10 +108,12 @@ def search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, beam: in
         beams = np.full((n, beam), -1, dtype=np.int64)
         scores = np.full((n, beam), -2.0)
         beams[:, 0], scores[:, 0] = medoid, sims[:, medoid]
-        # A vector is a node too: its own list is a second way in.
+        # A vector that is a node too has its own list as a second way in.
+        node_too = rows[part >= 0]
         if beam > 1:
-            beams[:, 1], scores[:, 1] = np.where(part == medoid, -1, part), np.where(part == medoid, -2.0, 1.0)
-        seen[rows, part], sims[rows, part] = True, 1.0
+            second = node_too[part[node_too] != medoid]
+            beams[second, 1], scores[second, 1] = part[second], 1.0
+        seen[node_too, part[node_too]], sims[node_too, part[node_too]] = True, 1.0
         while len(active):
             b, s = beams[active], scores[active]
             open_ = (b >= 0) & ~done[active[:, None], np.maximum(b, 0)]
@@ -188,6 +192,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
                 yield part.iloc[r].assign(shard=s, home=home[r] == s)
 
     placed = cut(firsts.select("label", "v", "rep", "copies").mapInPandas(assign, "label string, v array<double>, rep long, copies long, shard int, home boolean"), "graph-shards")
+    crowded = cut(placed.groupBy("label", "shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")).where("blocks > 1"), "graph-crowded")
+    placed = placed.join(sized(crowded), ["label", "shard"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
 
     def edges(frame: pd.DataFrame) -> pd.DataFrame:
         ids = frame["rep"].to_numpy()
@@ -195,7 +201,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         r, c = np.nonzero(graph >= 0)
         return pd.DataFrame({"label": frame["label"].iloc[0], "src": ids[r], "dst": ids[graph[r, c]]})
 
-    found = cut(placed.groupBy("label", "shard").applyInPandas(edges, "label string, src long, dst long"), "graph-edges")
+    found = cut(placed.groupBy("label", "shard", "block").applyInPandas(edges, "label string, src long, dst long"), "graph-edges")
     both = found.union(found.select("label", F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     lists = both.groupBy("label", F.col("src").alias("rep")).agg(F.collect_list("dst").alias("near"))
     members = cut(placed.join(lists, ["label", "rep"], "left"), "graph-lists")
@@ -216,34 +222,40 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
 
 
 def _search_all(members: DataFrame, beam: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Link counts of all distinct vectors, and links enough to join what was found."""
+    """Link counts of all distinct vectors, and links enough to join what was found.
+
+    A task has the nodes of one block and one part of the shard's home vectors as queries.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, copies, home = frame["rep"].to_numpy(), frame["copies"].to_numpy(), frame["home"].to_numpy()
-        x, at = unit(np.stack(frame["v"])), {v: i for i, v in enumerate(ids)}
-        graph = [np.array([at[d] for d in near if d in at], dtype=np.int64) if near is not None else np.zeros(0, np.int64) for near in frame["near"]]
-        queries = np.flatnonzero(home)
-        hits = search(x, graph, queries, min(beam, len(x)), threshold)
-        up = np.arange(len(ids))
-
-        def root(i: int) -> int:
-            while up[i] != i:
-                up[i] = up[up[i]]
-                i = up[i]
-            return i
-
-        for q, near in zip(queries, hits):
-            for j in near if len(near) < 64 else near[[root(int(j)) != root(int(q)) for j in near]]:
-                a, b = root(int(q)), root(int(j))
-                if a != b:
-                    up[max(a, b)] = min(a, b)
-        heads = np.array([ids[root(i)] for i in range(len(ids))])
-        counts = np.zeros(len(ids), dtype=np.int64)
-        counts[queries] = [int(copies[h].sum() + copies[q] - 1) for q, h in zip(queries, hits)]
-        return pd.DataFrame({"rep": ids, "n_links": counts, "is_count": home, "head": heads})
-
-    done = cut(members.groupBy("label", "shard").applyInPandas(run, "rep long, n_links long, is_count boolean, head long"), "graph-found")
-    counts = done.where("is_count").groupBy("rep").agg(F.sum("n_links").alias("n_links"))
+        nodes, asked = frame[frame["node"]], frame[~frame["node"]]
+        if not len(nodes) or not len(asked):
+            return pd.DataFrame({"rep": pd.Series(dtype="int64"), "n_links": pd.Series(dtype="int64"), "head": pd.Series(dtype="int64")})
+        ids, copies, queries = nodes["rep"].to_numpy(), nodes["copies"].to_numpy(), asked["rep"].to_numpy()
+        x, at = unit(np.stack(nodes["v"])), {v: i for i, v in enumerate(ids)}
+        graph = [np.array([at[d] for d in near if d in at], dtype=np.int64) if near is not None else np.zeros(0, np.int64) for near in nodes["near"]]
+        own = np.array([at.get(v, -1) for v in queries])
+        hits = search(x, graph, unit(np.stack(asked["v"])), own, min(beam, len(x)), threshold)
+        # Labels of all ids here, each group by its least id.
+        every = np.concatenate([ids, queries])
+        label = every.copy()
+        label[len(ids) :][own >= 0] = ids[own[own >= 0]]
+        for q, near in enumerate(hits):
+            mine = label[own[q]] if own[q] >= 0 else label[len(ids) + q]
+            if (label[near] != mine).any():
+                groups = np.append(np.unique(label[near]), mine)
+                label[np.isin(label, groups)] = groups.min()
+        label[len(ids) :][own >= 0] = label[own[own >= 0]]
+        counts = [int(copies[near].sum() + (copies[o] - 1 if o >= 0 else 0)) for near, o in zip(hits, own)]
+        return pd.DataFrame({"rep": every, "n_links": np.concatenate([np.zeros(len(ids), np.int64), np.array(counts, np.int64)]), "head": label})
+
+    key = ["label", "shard", "block", "part"]
+    parts = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    nodes = members.withColumn("part", parts).select(*key, "rep", "copies", "v", "near", F.lit(True).alias("node"))
+    asked = members.where("home").withColumn("part", F.pmod(F.xxhash64("rep", F.lit(1)), "blocks").cast("int")).drop("block").withColumn("block", parts)
+    asked = asked.select(*key, "rep", "copies", "v", F.lit(None).cast("array<long>").alias("near"), F.lit(False).alias("node"))
+    done = cut(nodes.unionByName(asked).groupBy(*key).applyInPandas(run, "rep long, n_links long, head long"), "graph-found")
+    counts = done.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
     return counts, done.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
 
 
