@@ -142,6 +142,20 @@ def test_backfill_is_complete_or_nothing(spark, tmp_path):
     assert {(r.artifact, r.release, r.done, r.n_total) for r in table(spark, str(tmp_path / "b"), "releases").collect()} == {("r-cran-abc", "1", True, 5), ("r-cran-abc", "2", True, 7), ("r-bioc-b", "1", False, None)}
 
 
+def test_a_backfill_goes_on_where_it_stopped(spark, tmp_path):
+    src, out, work = Source(spark), str(tmp_path / "out"), str(tmp_path / "work")
+    src.broken = [("r-bioc-b", "1")]
+    with pytest.raises(L.RunAborted, match="1 releases could not be read"):
+        L.resumable_backfill(spark, src.io(), out, work, CHANNELS, FLOORS, waves=3)
+    assert P.read_manifest(spark, out) is None
+    src.broken, src.asked = [], []
+    m = L.resumable_backfill(spark, src.io(), out, work, CHANNELS, FLOORS, waves=3)
+    asked = set().union(*src.asked)
+    assert ("r-bioc-b", "1", None) in asked and len(asked) < 3 and m["summary"]["packages"] == 2
+    assert {(r.item, r.n) for r in table(spark, out, "daily").collect()} == {("abc", 12), ("b", 2)}
+    assert all(r.done for r in table(spark, out, "releases").collect())
+
+
 def test_stream_of_count_files(spark, tmp_path):
     source, facts, ck = (str(tmp_path / x) for x in ("in", "facts", "ck"))
     row = lambda n: spark.createDataFrame([("m", "a", "1", D(2024, 1, 1), n), ("m", "a", "1", D(2024, 1, 1), 1), ("m", "a", "1", None, 1)], schemas.RAW_COUNTS)
