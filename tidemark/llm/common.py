@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -16,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_OWN_DIR: dict[str, str] = {}
+_MADE: list[tuple[SparkSession, str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
@@ -24,13 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_DIR:
+            _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        named = _OWN_DIR[app]
     return named.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new path in the shared folder, deleted when the driver's Python ends."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _MADE.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _MADE:
+        with contextlib.suppress(Exception):  # the session may have gone, and the folder may be cleaned by others
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
