@@ -10,7 +10,7 @@ document's sorted shingles in the other's.
 Which lists are long shows in rounds. Shingles are ordered by hash first.
 Equal sets become one document, and documents of one list are compared with
 one head of the list, which gathers groups of near copies in a few comparisons
-for each member. A list that still holds many separate groups is long: its
+for each member. A list that still holds many pairs of separate groups is long: its
 shingle goes to the end of the order and the documents take further shingles
 in its place. The lists that are left are compared in full across groups. No
 pair of one group is listed, and every link between different groups is
@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,10 @@ from tidemark.llm.links import components, sized
 
 #: Words of a shingle.
 WORDS = 5
-#: Separate groups from which a list counts as long, and long lists that are known to all tasks at most (the longest).
-LONG_LIST, MAX_LONG = 24, 200_000
+#: A list is long if it has more pairs of separate groups than so many separate documents have; long lists found in a round at most (the costliest), and rounds.
+LONG_LIST, MAX_LONG, LONG_ROUNDS = 24, 200_000, 3
+#: Documents of a block where little but long lists is left.
+BLOCK = 1000
 #: Rounds of comparing with a list's head.
 HEAD_ROUNDS = 2
 #: Words remembered by one Python worker.
@@ -227,6 +230,44 @@ def _later_lists(docs: DataFrame, shorts: DataFrame, slowed: DataFrame, long: np
     return told.where("s is not null").unionByName(again)
 
 
+def _block_links(docs: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
+    """Links enough to join all linked pairs among the given documents (a written table of x).
+
+    Documents are dealt into blocks of about ``BLOCK``; a task counts the common
+    shingles of two blocks and returns a link from each document to the least
+    one of its group there, never the pairs.
+    """
+    blocks = max(1, -(-ids.count() // BLOCK))
+    sets = cut(_full_sets(_texts_of(docs, ids)), "join-sets")
+    own = F.pmod(F.xxhash64("x", F.lit(5)), F.lit(blocks)).cast("int")
+    pairs = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    keyed = pairs.select("x", "shingles", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        x, arrays = frame["x"].to_numpy(), list(frame["shingles"])
+        sizes = np.array([len(a) for a in arrays], dtype=np.float64)
+        every, row = np.concatenate(arrays), np.repeat(np.arange(len(arrays)), sizes.astype(int))
+        _, column, seen = np.unique(every, return_inverse=True, return_counts=True)
+        keep = seen[column] > 1
+        row, column = row[keep], np.unique(column[keep], return_inverse=True)[1]
+        shared = np.zeros((len(x), len(x)), dtype=np.float32)
+        for at in range(0, int(column.max(initial=-1)) + 1, 4096):
+            part = (column >= at) & (column < at + 4096)
+            table = np.zeros((len(x), 4096), dtype=np.float32)
+            table[row[part], column[part] - at] = 1
+            shared += table @ table.T
+        linked = (shared > 0) & (100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared))
+        label = x.copy()
+        for i in range(len(x)):
+            near = label[linked[i]]
+            if (near != label[i]).any():
+                groups = np.append(np.unique(near), label[i])
+                label[np.isin(label, groups)] = groups.min()
+        return pd.DataFrame({"a": label, "b": x})[label != x]
+
+    return cut(keyed.groupBy("lo", "hi").applyInPandas(run, "a long, b long").distinct(), "join-links")
+
+
 def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
@@ -264,19 +305,30 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         found = new if found is None else found.unionByName(new)
         groups = cut(_grouped(lists, components(found)), "join-groups")
 
-    counts = cut(groups.groupBy("s").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.countDistinct("g").alias("c")).where("lo < hi").select("s", "c"), "join-mixed")
-    # At most MAX_LONG numbers.
-    long = np.array(sorted(r["s"] for r in counts.where(F.col("c") > LONG_LIST).orderBy(F.desc("c"), "s").limit(MAX_LONG).collect()), dtype=np.int64)
-    open_lists = groups.join(counts.select("s"), "s")
-    if len(long):
+    labels, later = components(found), None
+    open_lists, long = groups.select("s", "x", "n", "g"), np.zeros(0, dtype=np.int64)
+    for _ in range(LONG_ROUNDS):
+        costly = _costly(open_lists)
+        # At most MAX_LONG numbers.
+        more = [r["s"] for r in costly.where(F.col("pairs") > LONG_LIST**2 / 2).orderBy(F.desc("pairs"), "s").limit(MAX_LONG).collect()]
+        fresh = np.setdiff1d(np.array(more, dtype=np.int64), long)
+        if not len(fresh):
+            break
+        long = np.union1d(long, fresh)
         longs = docs.sparkSession.createDataFrame([(int(v),) for v in long], "s long")
-        slowed = cut(lists.join(F.broadcast(longs), "s", "left_semi").select("x").distinct(), "join-slowed")
+        slowed = cut(lists.join(F.broadcast(longs), "s", "left_semi").select("x").union(open_lists.join(F.broadcast(longs), "s", "left_semi").select("x")).distinct(), "join-slowed")
         later = _later_lists(docs, shorts, slowed, long, percent)
         keys = sized(cut(later.where("not is_long").select("s").distinct(), "join-keys"))
-        met = cut(postings.join(keys, "s", "left_semi").select("s", "x", "n").unionByName(later.select("s", "x", "n")), "join-met")
-        apart = met.groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi").select("s")
-        met = cut(met.join(apart, "s"), "join-met")
-        open_lists = open_lists.join(F.broadcast(longs), "s", "left_anti").select("s", "x", "n", "g").unionByName(_grouped(met, components(found)).select("s", "x", "n", "g"))
+        met = cut(postings.join(keys, "s", "left_semi").join(F.broadcast(longs), "s", "left_anti").select("s", "x", "n").unionByName(later.where("not is_long").select("s", "x", "n")), "join-met")
+        apart = cut(met.groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi").select("s"), "join-apart")
+        met = _grouped(met.join(apart, "s"), labels).select("s", "x", "n", "g")
+        open_lists = cut(groups.join(F.broadcast(longs), "s", "left_anti").select("s", "x", "n", "g").unionByName(met).distinct(), "join-open-lists")
+    if later is not None:
+        # Documents that have little but long lists: those lists are counted out in blocks.
+        crowd = cut(later.where("is_long").select("x").distinct(), "join-crowd")
+        found = found.unionByName(_block_links(docs, crowd, percent))
+    mixed = cut(_costly(open_lists).where("pairs > 0").select("s"), "join-mixed")
+    open_lists = open_lists.join(mixed, "s")
     one = open_lists.select("s", F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga")).distinct()
     two = open_lists.select("s", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb")).distinct()
     last = one.join(two, "s").where("a < b and ga <> gb").where(near).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
@@ -287,5 +339,11 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
+def _costly(lists: DataFrame) -> DataFrame:
+    """The pairs of different groups (g) in each list (s): all pairs, less those within a group."""
+    sizes = lists.groupBy("s", "g").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    return sizes.groupBy("s").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
+
+
 def _grouped(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return lists.join(labels.select(F.col("id").alias("x"), F.col("component").alias("g")), "x", "left").withColumn("g", F.coalesce("g", "x"))
