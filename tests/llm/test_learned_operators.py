@@ -74,6 +74,32 @@ def test_links_of_vectors(spark, monkeypatch, shard_rows, block_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def dense_and_pairs(seed, dense, pairs, cosine, ids):
+    """A dense group, and planted pairs of the given cosine that link with nothing else; ids of all, and of the pairs."""
+    rng = np.random.default_rng(seed)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    centre, a = unit(rng.normal(size=64)), unit(rng.normal(size=(pairs, 64)))
+    ball = unit(centre + 0.05 * unit(rng.normal(size=(dense, 64))))
+    off = rng.normal(size=(pairs, 64))
+    off = unit(off - (off * a).sum(axis=1, keepdims=True) * a)
+    x = np.concatenate([ball, a, cosine * a + np.sqrt(1 - cosine**2) * off])
+    ids = [ids(int(i)) for i in rng.permutation(len(x))]
+    return [(i, v, 1) for i, v in zip(ids, x.tolist())], list(zip(ids[dense : dense + pairs], ids[dense + pairs :]))
+
+
+def test_links_across_blocks_beside_a_dense_group(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "SHARD_ROWS", 100_000)
+    monkeypatch.setattr(flat_graph, "BLOCK_ROWS", 700)
+    rows, planted = dense_and_pairs(3, 1500, 250, 0.995, lambda i: i)
+    df = spark.createDataFrame([(*r, 1, True, "x") for r in rows], VECTORS)
+    got = {r.vec_id: r for r in flat_graph.near_duplicates(df).collect()}
+    found = sum(got[a].n_links == got[b].n_links == 1 and got[a].component_id == got[b].component_id for a, b in planted)
+    assert found == len(planted)
+
+
 def test_vectors_without_rows(spark):
     assert flat_graph.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 

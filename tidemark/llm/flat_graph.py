@@ -6,7 +6,9 @@ nearest neighbours those stay that no kept one makes redundant (robust
 pruning). The adjacency lists of all shards are united, and every vector is
 searched in its home shard: a beam walks from the medoid and from its own place
 in the graph towards it, then the
-range is expanded over the graph while neighbours stay near the threshold.
+range is expanded over the graph while neighbours stay near the threshold. In
+the other blocks of a crowded shard it has no place, and a dense group around
+the medoid would hold the walk, so there it is compared with every node.
 Links are verified in double precision, and an audit compares the counts of
 some vectors with brute force; where too few were found the search is widened.
 """
@@ -14,6 +16,7 @@ some vectors with brute force; where too few were found the search is widened.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -150,6 +153,16 @@ def search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, own: np.
     return found
 
 
+def compare(x: np.ndarray, queries: np.ndarray, own: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
+    """What ``search`` looks for, by comparison with every position."""
+    size = max(1, 4_000_000 // len(x))
+    for a in range(0, len(queries), size):
+        near = queries[a : a + size] @ x.T >= threshold
+        for row, me in zip(near, own[a : a + size]):
+            hits = np.flatnonzero(row)
+            yield hits[hits != me]
+
+
 def _valid(vectors: DataFrame) -> DataFrame:
     e = F.col("embedding").cast("array<double>")
     good = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(F.size(e) > 0, F.lit(False)) & F.coalesce(F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False)) & F.coalesce(F.exists(e, lambda v: v != 0), F.lit(False))
@@ -235,19 +248,22 @@ def _search_all(members: DataFrame, beam: int, threshold: float) -> tuple[DataFr
         x, at = unit(np.stack(nodes["v"])), {v: i for i, v in enumerate(ids)}
         graph = [np.array([at[d] for d in near if d in at], dtype=np.int64) if near is not None else np.zeros(0, np.int64) for near in nodes["near"]]
         own = np.array([at.get(v, -1) for v in queries])
-        hits = search(x, graph, unit(np.stack(asked["v"])), own, min(beam, len(x)), threshold)
+        at_home, vectors = own >= 0, unit(np.stack(asked["v"]))
+        walks = search(x, graph, vectors[at_home], own[at_home], min(beam, len(x)), threshold)
+        hits = chain(zip(np.flatnonzero(at_home), walks), zip(np.flatnonzero(~at_home), compare(x, vectors[~at_home], own[~at_home], threshold)))
         # Labels of all ids here, each group by its least id.
         every = np.concatenate([ids, queries])
         label = every.copy()
         label[len(ids) :][own >= 0] = ids[own[own >= 0]]
-        for q, near in enumerate(hits):
+        counts = np.zeros(len(queries), dtype=np.int64)
+        for q, near in hits:
+            counts[q] = copies[near].sum() + (copies[own[q]] - 1 if own[q] >= 0 else 0)
             mine = label[own[q]] if own[q] >= 0 else label[len(ids) + q]
             if (label[near] != mine).any():
                 groups = np.append(np.unique(label[near]), mine)
                 label[np.isin(label, groups)] = groups.min()
         label[len(ids) :][own >= 0] = label[own[own >= 0]]
-        counts = [int(copies[near].sum() + (copies[o] - 1 if o >= 0 else 0)) for near, o in zip(hits, own)]
-        return pd.DataFrame({"rep": every, "n_links": np.concatenate([np.zeros(len(ids), np.int64), np.array(counts, np.int64)]), "head": label})
+        return pd.DataFrame({"rep": every, "n_links": np.concatenate([np.zeros(len(ids), np.int64), counts]), "head": label})
 
     key = ["label", "shard", "block", "part"]
     parts = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
