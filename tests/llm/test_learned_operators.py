@@ -100,6 +100,22 @@ def test_links_across_blocks_beside_a_dense_group(spark, monkeypatch):
     assert found == len(planted)
 
 
+def test_audit_sees_what_a_dense_group_hides(spark, monkeypatch):
+    """Shards that hardly overlap tear partners apart, and no vec_id is divisible by 100."""
+    monkeypatch.setattr(flat_graph, "SHARD_ROWS", 50)
+    monkeypatch.setattr(flat_graph, "MARGIN", 0.0)
+    monkeypatch.setattr(flat_graph, "WIDER", 0)
+    rows, planted = dense_and_pairs(5, 200, 300, 0.75, lambda i: 100 * i + 1)
+    df = spark.createDataFrame([(*r, 1, True, "x") for r in rows], VECTORS)
+    got = {r.vec_id: r for r in flat_graph.near_duplicates(df, 0.7).collect()}
+    x = np.array([v for _, v, _ in rows], dtype=np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert sum(got[a].n_links > 0 for a, _ in planted) == len(planted)
+    assert [got[i].n_links for i, _, _ in rows] == ((x @ x.T >= 0.7).sum(axis=1) - 1).tolist()
+    assert all(got[a].component_id == got[b].component_id for a, b in planted)
+    assert {r.audit_recall for r in got.values()} == {1.0}
+
+
 def test_vectors_without_rows(spark):
     assert flat_graph.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 

@@ -10,7 +10,8 @@ range is expanded over the graph while neighbours stay near the threshold. In
 the other blocks of a crowded shard it has no place, and a dense group around
 the medoid would hold the walk, so there it is compared with every node.
 Links are verified in double precision, and an audit compares the counts of
-some vectors with brute force; where too few were found the search is widened.
+some vectors of every label with brute force. Labels of which too few were
+found are searched wider, and at last compared in full, block against block.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.llm.common import cut
 from tidemark.llm.links import components, sized
@@ -39,8 +39,10 @@ MARGIN = 0.08
 POOL, DEGREE, ALPHA = 48, 20, 1.2
 #: Width of the walk, and how far below the threshold the range is expanded.
 BEAM, SLACK = 48, 0.04
-#: Audited vectors at most, the recall that is asked for, and how often the search may be widened.
-AUDIT_ROWS, RECALL, WIDER = 400, 0.95, 2
+#: Audited vectors that a label should have (about), and that are enough to judge a stratum of link counts by.
+AUDIT_LEAST, STRATUM_LEAST = 20, 10
+#: The recall that is asked for, and how often the search may be widened before a label is compared in full.
+RECALL, WIDER = 0.95, 2
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -172,6 +174,8 @@ def _valid(vectors: DataFrame) -> DataFrame:
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept and audit_recall of every row.
 
+    audit_recall is the mean over audited vectors with links, 1 where none has any.
+
     Only vectors of one non-null label are compared. A vector that is null,
     empty or zero, or holds null or non-finite components, links with nothing,
     and so does one of another length. Equal vectors are searched once.
@@ -219,12 +223,30 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     lists = both.groupBy("label", F.col("src").alias("rep")).agg(F.collect_list("dst").alias("near"))
     members = cut(placed.join(lists, ["label", "rep"], "left"), "graph-lists")
 
-    for attempt in range(WIDER + 1):
-        counts, stars = _search_all(members, BEAM << (2 * attempt), threshold)
-        per_row = cut(rows.join(firsts.drop("copies"), ["label", "v"]).select("vec_id", "rep").join(counts, "rep", "left").select("vec_id", "rep", F.coalesce("n_links", F.lit(0)).alias("n_links")), "graph-counts")
-        recall = audit(rows, per_row, threshold)
-        if recall >= RECALL:
+    def counted(done: DataFrame) -> DataFrame:
+        counts = done.groupBy("label", "rep").agg(F.sum("n_links").alias("n_links"))
+        per_row = rows.join(firsts.drop("copies"), ["label", "v"]).select("label", "vec_id", "rep").join(counts, ["label", "rep"], "left")
+        return cut(per_row.select("label", "vec_id", "rep", F.coalesce("n_links", F.lit(0)).alias("n_links")), "graph-counts")
+
+    true = true_links(rows, threshold)
+    done = _search_all(members, BEAM, threshold)
+    per_row = counted(done)
+    recall, short = audit(true, per_row)
+    for attempt in range(1, WIDER + 2):
+        if short.isEmpty():
             break
+        if attempt <= WIDER:
+            again = _search_all(members.join(sized(short), "label", "left_semi"), BEAM << (2 * attempt), threshold)
+        else:
+            # All of a label as one shard, so that its shards meet too.
+            whole = firsts.join(sized(short), "label", "left_semi")
+            blocks = cut(whole.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")), "graph-whole")
+            whole = whole.join(sized(blocks), "label").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+            again = _search_all(whole.select("*", F.lit(0).alias("shard"), F.lit(True).alias("home"), F.lit(None).cast("array<long>").alias("near")), None, threshold)
+        done = done.join(sized(short), "label", "left_anti").unionByName(again)
+        per_row = counted(done)
+        recall, short = audit(true, per_row)
+    stars = done.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     own = per_row.select(F.col("vec_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     labels = components(own.unionByName(stars))
     # One vec_id may stand for several vectors: links of all of them count.
@@ -234,22 +256,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
 
 
-def _search_all(members: DataFrame, beam: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Link counts of all distinct vectors, and links enough to join what was found.
+def _search_all(members: DataFrame, beam: int | None, threshold: float) -> DataFrame:
+    """label, rep, n_links and head: parts of the link counts of all distinct vectors, and links (rep, head) enough to join what was found.
 
-    A task has the nodes of one block and one part of the shard's home vectors as queries.
+    Without a beam nothing is walked, and all are compared. A task has the nodes of one block and one part of the shard's home vectors as queries.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         nodes, asked = frame[frame["node"]], frame[~frame["node"]]
         if not len(nodes) or not len(asked):
-            return pd.DataFrame({"rep": pd.Series(dtype="int64"), "n_links": pd.Series(dtype="int64"), "head": pd.Series(dtype="int64")})
+            return pd.DataFrame({"label": pd.Series(dtype="str"), "rep": pd.Series(dtype="int64"), "n_links": pd.Series(dtype="int64"), "head": pd.Series(dtype="int64")})
         ids, copies, queries = nodes["rep"].to_numpy(), nodes["copies"].to_numpy(), asked["rep"].to_numpy()
         x, at = unit(np.stack(nodes["v"])), {v: i for i, v in enumerate(ids)}
-        graph = [np.array([at[d] for d in near if d in at], dtype=np.int64) if near is not None else np.zeros(0, np.int64) for near in nodes["near"]]
         own = np.array([at.get(v, -1) for v in queries])
-        at_home, vectors = own >= 0, unit(np.stack(asked["v"]))
-        walks = search(x, graph, vectors[at_home], own[at_home], min(beam, len(x)), threshold)
+        at_home, vectors, walks = (own >= 0) & (beam is not None), unit(np.stack(asked["v"])), []
+        if beam is not None:
+            graph = [np.array([at[d] for d in near if d in at], dtype=np.int64) if near is not None else np.zeros(0, np.int64) for near in nodes["near"]]
+            walks = search(x, graph, vectors[at_home], own[at_home], min(beam, len(x)), threshold)
         hits = chain(zip(np.flatnonzero(at_home), walks), zip(np.flatnonzero(~at_home), compare(x, vectors[~at_home], own[~at_home], threshold)))
         # Labels of all ids here, each group by its least id.
         every = np.concatenate([ids, queries])
@@ -263,35 +286,56 @@ def _search_all(members: DataFrame, beam: int, threshold: float) -> tuple[DataFr
                 groups = np.append(np.unique(label[near]), mine)
                 label[np.isin(label, groups)] = groups.min()
         label[len(ids) :][own >= 0] = label[own[own >= 0]]
-        return pd.DataFrame({"rep": every, "n_links": np.concatenate([np.zeros(len(ids), np.int64), counts]), "head": label})
+        return pd.DataFrame({"label": frame["label"].iloc[0], "rep": every, "n_links": np.concatenate([np.zeros(len(ids), np.int64), counts]), "head": label})
 
     key = ["label", "shard", "block", "part"]
     parts = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     nodes = members.withColumn("part", parts).select(*key, "rep", "copies", "v", "near", F.lit(True).alias("node"))
     asked = members.where("home").withColumn("part", F.pmod(F.xxhash64("rep", F.lit(1)), "blocks").cast("int")).drop("block").withColumn("block", parts)
     asked = asked.select(*key, "rep", "copies", "v", F.lit(None).cast("array<long>").alias("near"), F.lit(False).alias("node"))
-    done = cut(nodes.unionByName(asked).groupBy(*key).applyInPandas(run, "rep long, n_links long, head long"), "graph-found")
-    counts = done.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
-    return counts, done.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    return cut(nodes.unionByName(asked).groupBy(*key).applyInPandas(run, "label string, rep long, n_links long, head long"), "graph-found")
 
 
-def audit(rows: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the links of up to ``AUDIT_ROWS`` vectors (vec_id divisible by 100) that were counted."""
-    picked = rows.where("vec_id % 100 = 0").orderBy(F.xxhash64("vec_id"), "label").limit(AUDIT_ROWS).toPandas()
-    if not len(picked):
-        return 1.0
-    groups = {label: (part["vec_id"].to_numpy(), unit(np.stack(part["v"]))) for label, part in picked.groupby("label")}
+def true_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """label, vec_id and n of the audited vectors that have links, by brute force.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for label, part in frame.groupby("label"):
-                if label in groups:
-                    ids, q = groups[label]
-                    mine = part["vec_id"].to_numpy()
-                    near = (q @ unit(np.stack(part["v"])).T >= threshold) & (ids[:, None] != mine[None, :])
-                    yield pd.DataFrame({"vec_id": ids, "n": near.sum(axis=1)})
-
-    schema = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("n", T.LongType())])
-    true = rows.mapInPandas(run, schema).groupBy("vec_id").agg(F.sum("n").alias("n"))
-    both = true.join(counts.groupBy("vec_id").agg(F.sum("n_links").alias("k")), "vec_id").agg(F.sum("n").alias("n"), F.sum(F.least("n", "k")).alias("k")).first()
-    return both["k"] / both["n"] if both["n"] else 1.0
+    Audited are all vectors whose vec_id is divisible by 100, and in labels
+    with few of those about ``AUDIT_LEAST`` others, picked by hash. A task has
+    one block of them and one of the label's rows.
+    """
+    hundredth, few = F.col("vec_id") % 100 == 0, F.col("picked") < AUDIT_LEAST
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n_all"), F.count(F.when(hundredth, 1)).alias("picked"))
+    sizes = cut(sizes.select("*", F.ceil(F.col("n_all") / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil((F.col("picked") + AUDIT_LEAST) / BLOCK_ROWS).cast("int").alias("parts")), "audit-sizes")
+    every = rows.join(sized(sizes), "label").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int")).withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), "parts").cast("int"))
+    picked = every.where(hundredth | (few & (F.pmod(F.xxhash64("vec_id", F.lit(2)), "n_all") < AUDIT_LEAST)))
+    key = ["label", "block", "part"]
+    nodes = every.drop("part").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*key, "vec_id", "v", F.lit(True).alias("node"))
+    asked = picked.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*key, "vec_id", "v", F.lit(False).alias("node"))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        nodes, asked = frame[frame["node"]], frame[~frame["node"]]
+        counts = np.zeros(len(asked), dtype=np.int64)
+        if len(nodes) and len(asked):
+            x, mine, ids = unit(np.stack(nodes["v"])), nodes["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
+            near = compare(x, unit(np.stack(asked["v"])), np.full(len(asked), -1), threshold)
+            counts[:] = [int((mine[hits] != i).sum()) for i, hits in zip(ids, near)]
+        return pd.DataFrame({"label": frame["label"].iloc[0], "vec_id": asked["vec_id"].to_numpy(), "n": counts})
+
+    found = nodes.unionByName(asked).groupBy(*key).applyInPandas(run, "label string, vec_id long, n long")
+    return cut(found.groupBy("label", "vec_id").agg(F.sum("n").alias("n")).where("n > 0"), "audit-true")
+
+
+def audit(true: DataFrame, counts: DataFrame) -> tuple[float, DataFrame]:
+    """Mean share of its links that an audited vector has, and the labels that fall short.
+
+    Each vector counts once, however many links it has. A label falls short by
+    its mean, or by the mean of one stratum of link counts (from a power of
+    two to the next), so a dense group cannot hide what others lost.
+    """
+    found = true.join(counts.groupBy("label", "vec_id").agg(F.sum("n_links").alias("k")), ["label", "vec_id"])
+    strata = found.groupBy("label", F.floor(F.log2("n")).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.least("n", "k") / F.col("n")).alias("r"))
+    judged = F.min(F.when(F.col("n") >= STRATUM_LEAST, F.col("r") / F.col("n")))
+    labels = cut(strata.groupBy("label").agg(judged.alias("least"), F.sum("n").alias("n"), F.sum("r").alias("r")), "audit-labels")
+    total = labels.agg(F.sum("n").alias("n"), F.sum("r").alias("r")).first()
+    short = cut(labels.where(F.least("least", F.col("r") / F.col("n")) < RECALL).select("label"), "audit-short")
+    return (total["r"] / total["n"] if total["n"] else 1.0), short
