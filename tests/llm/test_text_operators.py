@@ -129,6 +129,19 @@ def test_thresholds_follow_their_group(spark):
     assert not got[2000] and all(got[i] for i in range(900))
 
 
+def test_junk_heavy_source_keeps_the_rule(spark):
+    """Junk of under half a source does not raise its limit; a source that is all like that keeps its own."""
+    rnd = random.Random(8)
+
+    def text(mark):
+        return " ".join(w + mark for w in data.prose(rnd, 80).split(" "))
+
+    rows = [(i, text("#" if i % 10 < 3 else ""), "hot") for i in range(300)] + [(1000 + i, text(""), "rest") for i in range(1500)] + [(5000 + i, text("#"), "code") for i in range(250)]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in adaptive_quality.judge(docs).collect()}
+    assert {i for i, kept in got.items() if not kept} == {i for i in range(300) if i % 10 < 3}
+
+
 # -- secrets ----------------------------------------------------------------
 
 _ASSIGN = re.compile("((?:" + "|".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key")) + r"))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")

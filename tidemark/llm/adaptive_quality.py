@@ -4,7 +4,8 @@ Every document gets a handful of measures. For each (lang, source) group a
 mergeable quantile sketch of every measure is kept; sketches of small groups
 are merged into those of their language, and these into one of the whole
 table. A document fails when a measure lies far outside the bulk of its
-group, and the thresholds reach the documents by a join.
+group; a group's threshold exceeds its language's, and this the table's, only
+as far as its median does. The thresholds reach the documents by a join.
 """
 
 from __future__ import annotations
@@ -100,9 +101,17 @@ def thresholds(measured: DataFrame) -> DataFrame:
     joined = sketches.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").crossJoin(F.broadcast(overall))
 
     def limit(measure: str, least: float) -> Column:
-        sketch = F.when(F.col("n") >= LEAST_ROWS, F.col(measure)).when(F.col("lang_n") >= LEAST_ROWS, F.col(f"lang_{measure}")).otherwise(F.col(f"all_{measure}"))
-        upper, middle = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.75, 0.5))
-        return upper + F.greatest(F.lit(least), SPREADS * (upper - middle))
+        whole = F.col(f"all_{measure}")
+        lang = F.when(F.col("lang_n") >= LEAST_ROWS, F.col(f"lang_{measure}")).otherwise(whole)
+        own = F.when(F.col("n") >= LEAST_ROWS, F.col(measure)).otherwise(lang)
+
+        def fence(sketch: Column, parent: Column | None) -> Column:
+            upper, middle = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.75, 0.5))
+            free = upper + F.greatest(F.lit(least), SPREADS * (upper - middle))
+            # Over the parent's limit only as far as the median carries it: junk of less than half the rows does not.
+            return free if parent is None else F.least(free, F.greatest(parent, middle + least))
+
+        return fence(own, fence(lang, fence(whole, None)))
 
     return joined.select("lang", "source", *(limit(m, least).alias(f"max_{m}") for m, least in MEASURES.items()))
 
