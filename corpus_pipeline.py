@@ -58,8 +58,8 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, as digests that a reader can check."""
-    return bpe_tree.encode_table(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+    """Token ids of what is left, and digests of them and of their bytes that a reader can check."""
+    return bpe_tree.encode_table(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -80,3 +80,14 @@ def test_text_is_encoded(steps):
     for r in after.collect():
         ids = lib.encode_ordinary(known[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+
+
+def test_ids_come_out(steps):
+    before, after = steps[4]
+    bpe = bpe_tree.TreeBpe(bpe_tree.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    known, rows = texts(before), after.collect()
+    assert rows
+    for r in rows:
+        ids = [int.from_bytes(r.ids[i : i + 4], "little") for i in range(0, len(r.ids), 4)]
+        assert len(ids) == r.n_tokens and bpe.decode(ids) == (known[r.doc_id] or "").encode()
+        assert hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() == r.ids_sha256
