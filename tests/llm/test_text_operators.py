@@ -38,10 +38,11 @@ def brute_join(texts, percent=80):
     return {i: root(i) for i in keys}, {i: max(len(s) for s in v) for i, v in sets.items()}
 
 
-@pytest.mark.parametrize("long_list", [1, 24])
-def test_join_equals_brute_force(spark, monkeypatch, long_list):
-    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
-    rnd = random.Random(long_list)
+@pytest.mark.parametrize(("heads", "postings"), [(0, 2_000_000), (2, 300)])
+def test_join_equals_brute_force(spark, monkeypatch, heads, postings):
+    monkeypatch.setattr(ngram_join, "HEAD_ROUNDS", heads)
+    monkeypatch.setattr(ngram_join, "POSTINGS", postings)
+    rnd = random.Random(heads)
     texts = data.odd_texts()
     for g in range(6):  # chains: neighbours are near, ends are not
         words = data.prose(rnd, 150, 9000).split(" ")

@@ -13,6 +13,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 #: Fixed value: the word pattern of the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,8 +49,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def _clean() -> None:
     for spark, path in _MADE:
         with contextlib.suppress(Exception):  # the session may have gone, and the folder may be cleaned by others
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -61,7 +61,31 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*written: DataFrame | None) -> None:
+    """Delete tables that ``cut`` has written and that nothing reads any more."""
+    for df in written:
+        if df is not None:
+            _delete(df.sparkSession, df._written_at)
+
+
+#: Bytes on disk up to which a written table may be broadcast; beyond it the join is shuffled.
+BROADCAST_BYTES = 8 << 20
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df``, a written table, marked for broadcast if the bytes of its files are few enough."""
+    few = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= BROADCAST_BYTES
+    return broadcast(df) if few else df
 
 
 def map_columns(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str, rows: Callable[..., list]) -> DataFrame:

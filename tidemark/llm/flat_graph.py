@@ -24,8 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
-from tidemark.llm.links import components, sized
+from tidemark.llm.common import cut, sized
+from tidemark.llm.links import components
 
 #: Rows of a shard that are aimed at; labels of no more rows have one shard.
 SHARD_ROWS = 2500

@@ -5,16 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
-
-#: Rows up to which an id list may be broadcast; beyond it the join is shuffled.
-BROADCAST_ROWS = 2_000_000
-
-
-def sized(df: DataFrame) -> DataFrame:
-    """``df`` (already written), marked for broadcast if its counted rows are few enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
+from tidemark.llm.common import cut, discard
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b), the component being its smallest id.
@@ -29,6 +20,8 @@ def components(links: DataFrame) -> DataFrame:
         least = labels.join(near, "id").select("id", F.least("component", "l").alias("component"), F.col("component").alias("old"))
         heads = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
         moved = cut(least.join(heads, "component", "left").select("id", F.least("component", F.coalesce("up", "component")).alias("component"), "old"), "labels")
-        labels = moved.select("id", "component")
+        discard(labels)
+        labels = moved
         if moved.where("component <> old").isEmpty():
-            return labels
+            discard(both)
+            return labels.select("id", "component")

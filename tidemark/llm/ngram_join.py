@@ -1,20 +1,27 @@
-"""Similarity join of documents on word shingles, as a T-occurrence search.
-
-A document of n shingles and any partner of Jaccard similarity s or more share
-at least T = ceil(s * n) of them. So of the document's n inverted lists the
-T - 1 longest can be set aside: a partner must occur in one of the other
-n - T + 1 short lists. Those are merged (one grouping by shingle), and the
-candidates are then probed in the lists set aside, by binary search of one
-document's sorted shingles in the other's.
-
-Which lists are long shows in rounds. Shingles are ordered by hash first.
-Equal sets become one document, and documents of one list are compared with
-one head of the list, which gathers groups of near copies in a few comparisons
-for each member. A list that still holds many pairs of separate groups is long: its
-shingle goes to the end of the order and the documents take further shingles
-in its place. The lists that are left are compared in full across groups. No
-pair of one group is listed, and every link between different groups is
-found, so components are exact.
+"""Similarity join of documents on word shingles: a T-occurrence search by DivideSkip.
+
+A set of n shingles shares at least T = ceil(s * n) of them with any partner
+of Jaccard similarity s or more, so a partner's id occurs T times in the set's
+n inverted lists. DivideSkip sets L of the lists aside, merges the others and
+asks for T - L occurrences there, and probes the lists set aside only for the
+candidates that are left. It runs here in three steps.
+
+1. Screen. All sets take part, so lists are divided by hash, not by length: a
+   fixed share of all lists is merged (counted), and a set goes on if enough of
+   its merged lists hold other sets too. Texts that merely share a passage
+   end here.
+2. Groups. Of what is left each set meets one head: the set of least rank that
+   most of its lists begin with. Heads that reach the similarity gather groups
+   of near copies with one comparison for each member, so no pair within a
+   group is listed.
+3. Search. Lists with more than one group are the inverted lists of the
+   search proper. A set asks for partners of other groups and of at least its
+   own size; its lists are ordered by length, L follows from T and the longest
+   one, the short lists are merged to T - L occurrences, and each candidate is
+   probed by binary search for the long ones, until the outcome is certain.
+
+Links between groups are all found, and groups are joined by links, so
+components are exact.
 """
 
 from __future__ import annotations
@@ -23,327 +30,306 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
-from tidemark.llm.links import components, sized
+from tidemark.llm.common import cut, discard, sized
+from tidemark.llm.links import components
+from tidemark.llm.shingles import shingle_sets, slices
 
-#: Words of a shingle.
-WORDS = 5
-#: A list is long if it has more pairs of separate groups than so many separate documents have; long lists found in a round at most (the costliest), and rounds.
-LONG_LIST, MAX_LONG, LONG_ROUNDS = 24, 200_000, 3
-#: Documents of a block where little but long lists is left.
-BLOCK = 1000
-#: Rounds of comparing with a list's head.
-HEAD_ROUNDS = 2
-#: Words remembered by one Python worker.
-MEMO_WORDS = 150_000
-#: Documents that a task holds as Python objects at a time.
-SLICE = 500
+#: Share of all lists, by hash, that the screen merges.
+SCREEN = 0.4
+#: Postings that a task of the screen holds.
+POSTINGS = 2_000_000
+#: Rounds of meeting heads, and of setting sets aside that have too few lists with other groups.
+HEAD_ROUNDS, PRUNE_ROUNDS = 2, 3
+#: How much a long list costs against a short one in the choice of L (after Li, Lu and Lu, 2008).
+LONG_COST = 0.0085
+#: Shingles probed before it is asked whether the outcome is certain.
+PROBE = 64
 
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
-
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = value
-        return value
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
 
 
-_HASH = _WordHash()
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles.
+def _keys(sets: list[np.ndarray]) -> np.ndarray:
+    """Two numbers of 64 bits that stand for each set."""
+    digests = b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
+    return np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
 
-    A to Z are lower-cased. A text of one to four words has its whole sequence
-    as one shingle; one without words has none.
-    """
-    words = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII white space
-    if not words:
-        return np.zeros(0, dtype=np.int64)
-    if len(words) < WORDS:
-        digest = hashlib.blake2b(b"\0".join(words), digest_size=8, key=b"whole").digest()
-        return np.frombuffer(digest, dtype=np.int64).copy()
-    codes = np.fromiter(map(_HASH.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = len(words) - WORDS + 1
-    h = np.zeros(n, dtype=np.uint64)
-    for i in range(WORDS):
-        h += codes[i : i + n] * _ODD[i]
-    h ^= h >> np.uint64(31)
-    h *= _ODD[1]
-    h ^= h >> np.uint64(29)
-    return np.unique(h.view(np.int64))
 
+def _sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, n and the two keys of the set of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
 
-def short_lists(n: int, percent: int) -> int:
-    """n - T + 1."""
-    return n - -(-percent * n // 100) + 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            sets = shingle_sets(batch.column(1))
+            keys = _keys(sets)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1])], schema=schema)
 
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
 
-def begin(n: int, percent: int) -> int:
-    """Shingles kept of a set: its short lists, and some that may take the place of long ones among them."""
-    return min(n, short_lists(n, percent) + n // 10 + 16)
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
 
+_PACK = pa.schema([("bucket", pa.int32()), ("pack", pa.int64()), ("postings", pa.bool_()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
 
+def _packed(parts: list[np.ndarray], sizes: np.ndarray, keys: np.ndarray, task: int, turn: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The screen's postings of some sets by bucket, and what of their counts is known already.
 
-def _sketches(docs: DataFrame, percent: int) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("short", pa.list_(pa.int64()))])
+    A list of several sets here is known to be shared; one posting, marked so,
+    tells the other tasks of it.
+    """
+    pack = (task << 32) + turn
+    _, first = np.unique(keys, axis=0, return_index=True)
+    parts, sizes, keys = [parts[i] for i in first], sizes[first], keys[first, 0]
+    taken = np.array([len(p) for p in parts])
+    s, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), taken)
+    order = np.argsort(s, kind="stable")
+    s, owner = s[order], owner[order]
+    at = _starts(s)
+    length = np.diff(np.append(at, len(s)))
+    known = np.bincount(owner[np.repeat(length > 1, length)], minlength=len(parts))
+    need = taken - (sizes - -(-percent * sizes // 100))
+    s, owner, several = s[at], owner[at], length > 1
+    width = int(SCREEN * 2**64) // buckets + 1
+    edges = np.searchsorted(s, np.array([i * width - 2**63 for i in range(1, buckets)], dtype=np.int64))
+    rows = [((task + turn) % buckets, pack, False, keys.tobytes(), known.astype(np.int32).tobytes(), need.astype(np.int32).tobytes())]
+    for bucket, (x, y) in enumerate(zip([0, *edges], [*edges, len(s)])):
+        if x < y:
+            rows.append((bucket, pack, True, s[x:y].tobytes(), keys[owner[x:y]].tobytes(), several[x:y].tobytes()))
+    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _PACK)], schema=_PACK)
+
+
+_COUNTS = pa.schema([("k1", pa.int64()), ("pack", pa.int64()), ("count", pa.int32()), ("need", pa.int32())])
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """For each set and pack of one bucket: how many of its unmarked lists turn out to be shared."""
+    table = table.combine_chunks()
+    kind = table.column("postings").to_numpy()
+    out = []
+    for pack, a, b, c in zip(*(table.filter(pa.array(~kind)).column(n).to_pylist() for n in ("pack", "a", "b", "c"))):
+        keys = np.frombuffer(a, np.int64)
+        out.append(pa.table([keys, np.full(len(keys), pack), np.frombuffer(b, np.int32), np.frombuffer(c, np.int32)], schema=_COUNTS))
+    packs, a, b, c = (table.filter(pa.array(kind)).column(n).to_pylist() for n in ("pack", "a", "b", "c"))
+    if a:
+        s, keys, marked = (np.concatenate([np.frombuffer(x, t) for x in col]) for col, t in ((a, np.int64), (b, np.int64), (c, np.bool_)))
+        pack = np.repeat(np.array(packs, np.int64), [len(x) // 8 for x in a])
+        order = np.argsort(s, kind="stable")
+        at = _starts(s[order])
+        keys, marked, pack = keys[order], marked[order], pack[order]
+        shared = np.logical_or.reduceat(marked, at) | (np.minimum.reduceat(keys, at) != np.maximum.reduceat(keys, at))
+        tell = np.repeat(shared, np.diff(np.append(at, len(keys)))) & ~marked
+        counts = pa.table({"k1": keys[tell], "pack": pack[tell]}).group_by(["k1", "pack"]).aggregate([([], "count_all")])
+        out.append(pa.table([counts["k1"], counts["pack"], counts["count_all"].cast(pa.int32()), pa.nulls(len(counts), pa.int32())], schema=_COUNTS))
+    return pa.concat_tables(out) if out else _COUNTS.empty_table()
+
+
+def _screened(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
+    """Keys (k1) of the sets that may have partners, copies apart."""
+    buckets = max(1, -(-int(SCREEN * shingles) // POSTINGS))
+
+    limit = np.int64(int(SCREEN * 2**64) - 2**63)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
-            sigs = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            heads = [s[: begin(len(s), percent)] for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), _lists(heads)], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, sig binary, short array<long>")
-
-
-def _full_sets(texts: DataFrame) -> DataFrame:
-    schema = pa.schema([("x", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+        task, turn, held, weight = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            parts, sizes, keys = zip(*held)
+            return _packed([p for ps in parts for p in ps], np.concatenate(sizes), np.concatenate(keys), task, turn, percent, buckets)
+
+        for batch in slices(batches, 0):
+            sets = [s for s in shingle_sets(batch.column(0)) if len(s)]
+            if sets:
+                parts = [s[: np.searchsorted(s, limit)].copy() for s in sets]
+                held.append((parts, np.array([len(s) for s in sets]), _keys(sets)))
+                weight += sum(map(len, parts))
+            if weight >= POSTINGS:
+                yield from flush()
+                turn, held, weight = turn + 1, [], 0
+        if held:
+            yield from flush()
+
+    packs = docs.where(F.col("doc_id").cast("long").isNotNull()).select("text").mapInArrow(run, "bucket int, pack long, postings boolean, a binary, b binary, c binary")
+    counts = packs.groupBy("bucket").applyInArrow(_counted, "k1 long, pack long, count int, need int")
+    sums = counts.groupBy("k1", "pack").agg(F.sum("count").alias("count"), F.max("need").alias("need"))
+    return sums.where("count >= need").select("k1").distinct()
+
+
+def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The keys and shingles of the texts of the given documents (a written table of rep)."""
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingle_set(t) for t in batch.column(1).to_pylist()])], schema=schema)
+        for batch in slices(batches, 0):
+            sets = shingle_sets(batch.column(0))
+            keys = _keys(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), _lists(sets)], schema=schema)
 
-    return texts.select("x", "text").mapInArrow(run, "x long, shingles array<long>")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    return keyed.join(sized(ids), "rep", "left_semi").select("text").mapInArrow(run, "k1 long, k2 long, shingles array<long>")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """x and text of the documents with the given (written) ids."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("x"), "text")
-    return keyed.join(sized(ids), "x", "left_semi")
-
-
-def _arrays(column: pa.Array) -> list[np.ndarray]:
-    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return [values[a:b] for a, b in zip(offsets, offsets[1:])]
-
-
-def _shared(one: np.ndarray, two: np.ndarray) -> int:
-    """Common entries of two sorted lists: the shorter one is probed in the longer."""
-    few, many = (one, two) if len(one) <= len(two) else (two, one)
-    if not len(few):
-        return 0
-    at = np.searchsorted(many, few)
-    return int((many[np.minimum(at, len(many) - 1)] == few).sum())
+def probed(found: int, wanted: np.ndarray, held: np.ndarray, need: int) -> bool:
+    """Whether ``found`` and those of the ``wanted`` shingles that are in the sorted ``held`` reach ``need``.
 
+    Shingles are looked up by binary search, some at a time; it ends as soon as
+    the outcome is certain.
+    """
+    left = len(wanted)
+    for at in range(0, left, PROBE):
+        if found >= need or found + left < need or not len(held):
+            break
+        some = wanted[at : at + PROBE]
+        place = np.searchsorted(held, some)
+        found += int((held[np.minimum(place, len(held) - 1)] == some).sum())
+        left -= len(some)
+    return found >= need
 
-def _possible(pairs: DataFrame, shorts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their first lists leave open.
 
-    Up to the lesser end of both, the sorted beginnings hold every shingle; the
-    rest can add no more than what is left of the smaller set.
-    """
-    sides = [shorts.select(F.col("x").alias(k), F.col("n").alias(f"n{k}"), F.col("short").alias(f"s{k}")) for k in "ab"]
+def _probe(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b, found, need, wanted, held) those (a, b) that ``probed`` accepts."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for na, nb, sa, sb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), _arrays(batch.column(4)), _arrays(batch.column(5))):
-                end = min(sa[-1], sb[-1])
-                ca, cb = np.searchsorted(sa, end, "right"), np.searchsorted(sb, end, "right")
-                most = _shared(sa[:ca], sb[:cb]) + min(na - ca, nb - cb)
-                keep.append(bool(100 * most >= percent * (na + nb - most)))
+            numbers = (batch.column(i).to_pylist() for i in (2, 3))
+            keep = [probed(f, w, h, n) for f, n, w, h in zip(*numbers, _arrays(batch.column(4)), _arrays(batch.column(5)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "found", "need", "wanted", "held").mapInArrow(run, "a long, b long")
 
 
-def _probe(docs: DataFrame, pairs: DataFrame, shorts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity."""
-    open_pairs = cut(_possible(pairs, shorts, percent).distinct(), "join-open")
-    ids = cut(open_pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct(), "join-members")
-    sets = cut(_full_sets(_texts_of(docs, ids)), "join-sets")
-    sides = [sets.select(F.col("x").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab"]
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _least_shared(n: Column, percent: int) -> Column:
+    """T of a set of n shingles."""
+    return F.ceil(n * percent / 100)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for sa, sb in zip(_arrays(batch.column(2)), _arrays(batch.column(3))):
-                shared = _shared(sa, sb)
-                keep.append(shared > 0 and 100 * shared >= percent * (len(sa) + len(sb) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
-
-    return cut(open_pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "join-links")
 
+def _needed(na: Column, nb: Column, percent: int) -> Column:
+    """Shared shingles that two sets of na and nb need."""
+    return F.ceil((na + nb) * percent / (100 + percent)).cast("int")
 
-_LATER = pa.schema([("x", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("is_long", pa.bool_())])
-_LATER_DDL = "x long, n long, s long, is_long boolean"
 
+def _near(na: Column, nb: Column, percent: int) -> Column:
+    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
-def _later(x: int, n: int, known: np.ndarray, long: np.ndarray, percent: int) -> pa.RecordBatch | None:
-    """The lists that take the place of a document's long ones; one null row if its known shingles are too few to tell."""
-    k = short_lists(n, percent)
-    late = long[np.minimum(np.searchsorted(long, known), len(long) - 1)] == known
-    if not late[:k].any():
-        return None
-    first = np.flatnonzero(~late)[:k]
-    if len(first) < k and len(known) < n:
-        return pa.RecordBatch.from_arrays([pa.array([x]), pa.array([n]), pa.array([None], pa.int64()), pa.array([None], pa.bool_())], schema=_LATER)
-    order = np.concatenate([first, np.flatnonzero(late)])[:k]
-    new = order[(order >= k) | late[order]]
-    return pa.RecordBatch.from_arrays([pa.array([x] * len(new), pa.int64()), pa.array([n] * len(new), pa.int64()), pa.array(known[new]), pa.array(late[new])], schema=_LATER) if len(new) else None
 
+def _links_to_heads(lists: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each set of ``lists`` (s, x, n, g) with the head of another group that most of its lists have, where they link."""
+    rank = F.struct(F.xxhash64("x", F.lit(turn)).alias("r"), F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    heads = lists.groupBy("s").agg(F.min(rank).alias("head"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("s", "head.b", "head.nb", "head.gb")
+    met = lists.join(heads, "s").where((F.col("g") != F.col("gb")) & _near(F.col("n"), F.col("nb"), percent)).groupBy("x", "n", "b", "nb").count()
+    pairs = met.groupBy(F.col("x").alias("a"), F.col("n").alias("na")).agg(F.max(F.struct("count", "b", "nb")).alias("most")).select("a", "na", "most.b", "most.nb")
+    pairs = cut(pairs, "join-heads")
+    one = sets.select(F.col("x").alias("a"), F.col("shingles").alias("wanted"))
+    two = sets.select(F.col("x").alias("b"), F.col("shingles").alias("held"))
+    both = pairs.join(one, "a").join(two, "b").withColumn("found", F.lit(0)).withColumn("need", _needed(F.col("na"), F.col("nb"), percent))
+    links = cut(_probe(both), "join-links")
+    discard(pairs)
+    return links
 
-def _later_lists(docs: DataFrame, shorts: DataFrame, slowed: DataFrame, long: np.ndarray, percent: int) -> DataFrame:
-    """For documents with long lists among their first: the lists that take their place (x, n, s, is_long).
 
-    Most are told from the beginnings of their sets; the others' texts are read again.
-    """
-
-    def from_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, n, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _arrays(batch.column(2))):
-                if (out := _later(x, n, known, long, percent)) is not None:
-                    yield out
+def _open_lists(lists: DataFrame, percent: int) -> DataFrame:
+    """Of (s, x, n, g) the rows of lists with several groups, of sets with at least T of them."""
+    mixed = lists.groupBy("s").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("s")
+    rows = cut(lists.join(mixed, "s"), "join-lists")
+    enough = rows.groupBy("x", "n").count().where(F.col("count") >= _least_shared(F.col("n"), percent)).select("x")
+    out = cut(rows.join(enough, "x"), "join-lists")
+    discard(rows)
+    return out
 
-    def from_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            for x, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                whole = shingle_set(text)
-                if len(whole) and (out := _later(x, len(whole), whole, long, percent)) is not None:
-                    yield out
 
-    told = cut(shorts.join(sized(slowed), "x", "left_semi").select("x", "n", "short").mapInArrow(from_sets, _LATER_DDL), "join-later")
-    open_ids = cut(told.where("s is null").select("x").distinct(), "join-slowed")
-    again = cut(_texts_of(docs, open_ids).select("x", "text").mapInArrow(from_texts, _LATER_DDL), "join-later")
-    return told.where("s is not null").unionByName(again)
+def _regrouped(lists: DataFrame, links: DataFrame) -> DataFrame:
+    labels = components(links).select(F.col("id").alias("x"), F.col("component").alias("label"))
+    return lists.join(labels, "x", "left").select("s", "x", "n", F.coalesce("label", "x").alias("g"))
 
 
-def _block_links(docs: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
-    """Links enough to join all linked pairs among the given documents (a written table of x).
+def divide_skip(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) between sets of different groups, from the rows (s, x, n, g) of the inverted lists.
 
-    Documents are dealt into blocks of about ``BLOCK``; a task counts the common
-    shingles of two blocks and returns a link from each document to the least
-    one of its group there, never the pairs.
+    Sets ask for partners of at least their own size (of equal ones, for those
+    of greater number), which share at least T = ceil(2s / (1 + s) * n).
     """
-    blocks = max(1, -(-ids.count() // BLOCK))
-    sets = cut(_full_sets(_texts_of(docs, ids)), "join-sets")
-    own = F.pmod(F.xxhash64("x", F.lit(5)), F.lit(blocks)).cast("int")
-    pairs = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keyed = pairs.select("x", "shingles", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        x, arrays = frame["x"].to_numpy(), list(frame["shingles"])
-        sizes = np.array([len(a) for a in arrays], dtype=np.float64)
-        every, row = np.concatenate(arrays), np.repeat(np.arange(len(arrays)), sizes.astype(int))
-        _, column, seen = np.unique(every, return_inverse=True, return_counts=True)
-        keep = seen[column] > 1
-        row, column = row[keep], np.unique(column[keep], return_inverse=True)[1]
-        shared = np.zeros((len(x), len(x)), dtype=np.float32)
-        for at in range(0, int(column.max(initial=-1)) + 1, 4096):
-            part = (column >= at) & (column < at + 4096)
-            table = np.zeros((len(x), 4096), dtype=np.float32)
-            table[row[part], column[part] - at] = 1
-            shared += table @ table.T
-        linked = (shared > 0) & (100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared))
-        label = x.copy()
-        for i in range(len(x)):
-            near = label[linked[i]]
-            if (near != label[i]).any():
-                groups = np.append(np.unique(near), label[i])
-                label[np.isin(label, groups)] = groups.min()
-        return pd.DataFrame({"a": label, "b": x})[label != x]
-
-    return cut(keyed.groupBy("lo", "hi").applyInPandas(run, "a long, b long").distinct(), "join-links")
+    lengths = lists.groupBy("s").count()
+    ordered = lists.join(lengths, "s").groupBy("x", "n", "g").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("ls"))
+    t = F.ceil(2 * F.col("n") * percent / (100 + percent)).cast("int")
+    aside = F.floor(F.col("t") / (LONG_COST * F.log2(F.element_at("ls", -1)["count"]) + 1)).cast("int")
+    asking = ordered.withColumn("t", t).where(F.size("ls") >= F.col("t")).withColumn("aside", F.greatest(F.lit(0), F.least(F.col("t") - 1, aside))).withColumn("merge", F.size("ls") - F.col("aside"))
+    asking = cut(
+        asking.select("x", "n", "g", (F.col("t") - F.col("aside")).alias("least"), F.slice("ls", F.lit(1), F.col("merge"))["s"].alias("short"), F.slice("ls", F.col("merge") + 1, F.col("aside"))["s"].alias("long")),
+        "join-asking",
+    )
+    query = asking.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), "least", F.explode("short").alias("s"))
+    index = lists.select("s", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    larger = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    met = query.join(index, "s").where((F.col("ga") != F.col("gb")) & larger & _near(F.col("na"), F.col("nb"), percent))
+    merged = met.groupBy("a", "b", "na", "nb", "least").count().where(F.col("count") >= F.col("least"))
+    candidates = cut(merged.select("a", "b", F.col("count").cast("int").alias("found"), _needed(F.col("na"), F.col("nb"), percent).alias("need")), "join-candidates")
+    long = asking.select(F.col("x").alias("a"), F.array_sort("long").alias("wanted"))
+    held = sets.select(F.col("x").alias("b"), F.col("shingles").alias("held"))
+    links = cut(_probe(candidates.join(long, "a").join(held, "b")), "join-links")
+    discard(asking, candidates)
+    return links
 
 
 def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
     Documents link when 100 * shared >= percent * united shingles. Documents
-    without words link with nothing. Repeated rows, and rows of one doc_id, are
-    one document; a null doc_id links with nothing and has no component. An
-    empty table gives no rows.
+    without words link with nothing. Rows of one doc_id are one document, which
+    links as any of its texts does; a null doc_id links with nothing and has no
+    component. An empty table gives no rows.
     """
-    rows = cut(_sketches(docs, percent), "join-sketches")
-    linkable = rows.where("n > 0 and doc_id is not null")
-    firsts = cut(linkable.groupBy("sig").agg(F.min("doc_id").alias("rep")), "join-classes")
-    classes = cut(linkable.select("doc_id", "sig").distinct().join(firsts, "sig").where("doc_id <> rep").select("doc_id", "sig", "rep"), "join-copies")
-    copies = sized(classes.select("doc_id", "sig"))
-    shorts = linkable.join(copies, ["doc_id", "sig"], "left_anti").select(F.col("doc_id").alias("x"), "n", "short")
-    k = F.expr(f"cast(n - (({percent} * n + 99) div 100) + 1 as int)")
-    postings = shorts.select("x", "n", F.explode(F.slice("short", F.lit(1), k)).alias("s"))
-
-    spread = cut(postings.groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi").select("s"), "join-spread")
-    lists = cut(postings.join(spread, "s").select("s", "x", "n"), "join-lists")
-
-    near = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    links = classes.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))  # equal sets
-    tried, found = None, None
-    groups = lists.withColumn("g", F.col("x"))
+    rows = cut(_sizes(docs), "join-sizes")
+    total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
+    linkable = rows.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "doc_id", "n").count()
+    firsts = linkable.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "count")).alias("f"))
+    # Numbers of sets; they stay as they are once written.
+    firsts = cut(firsts.select("k1", "k2", "n", F.col("f.doc_id").alias("rep"), (F.col("f.count") > 1).alias("repeated")).withColumn("x", F.monotonically_increasing_id()), "join-firsts")
+    left = cut(firsts.join(_screened(docs, percent, total), "k1"), "join-screened")
+    reps = cut(left.select("rep").distinct(), "join-reps")
+    sets = _whole_sets(docs, reps).join(sized(left.select("k1", "k2", "x", "n")), ["k1", "k2"]).select("x", "n", "shingles")
+    if not left.where("repeated").isEmpty():
+        sets = sets.dropDuplicates(["x"])
+    sets = cut(sets, "join-sets")
+
+    lists = _open_lists(sets.select(F.explode("shingles").alias("s"), "x", "n", F.col("x").alias("g")), percent)
+    links = None
     for turn in range(HEAD_ROUNDS):
-        rank = F.struct((F.col("x") if turn == 0 else F.xxhash64("x", F.lit(turn))).alias("r"), F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
-        heads = cut(groups.groupBy("s").agg(F.min(rank).alias("head"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("s", "head.*"), "join-heads")
-        mixed = groups.join(heads, "s").where("g <> gb").select(F.col("x").alias("a"), "b", F.col("n").alias("na"), "nb")
-        pairs = mixed.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "join-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = _probe(docs, pairs, shorts, percent)
-        found = new if found is None else found.unionByName(new)
-        groups = cut(_grouped(lists, components(found)), "join-groups")
-
-    labels, later = components(found), None
-    open_lists, long = groups.select("s", "x", "n", "g"), np.zeros(0, dtype=np.int64)
-    for _ in range(LONG_ROUNDS):
-        costly = _costly(open_lists)
-        # At most MAX_LONG numbers.
-        more = [r["s"] for r in costly.where(F.col("pairs") > LONG_LIST**2 / 2).orderBy(F.desc("pairs"), "s").limit(MAX_LONG).collect()]
-        fresh = np.setdiff1d(np.array(more, dtype=np.int64), long)
-        if not len(fresh):
-            break
-        long = np.union1d(long, fresh)
-        longs = docs.sparkSession.createDataFrame([(int(v),) for v in long], "s long")
-        slowed = cut(lists.join(F.broadcast(longs), "s", "left_semi").select("x").union(open_lists.join(F.broadcast(longs), "s", "left_semi").select("x")).distinct(), "join-slowed")
-        later = _later_lists(docs, shorts, slowed, long, percent)
-        keys = sized(cut(later.where("not is_long").select("s").distinct(), "join-keys"))
-        met = cut(postings.join(keys, "s", "left_semi").join(F.broadcast(longs), "s", "left_anti").select("s", "x", "n").unionByName(later.where("not is_long").select("s", "x", "n")), "join-met")
-        apart = cut(met.groupBy("s").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi").select("s"), "join-apart")
-        met = _grouped(met.join(apart, "s"), labels).select("s", "x", "n", "g")
-        open_lists = cut(groups.join(F.broadcast(longs), "s", "left_anti").select("s", "x", "n", "g").unionByName(met).distinct(), "join-open-lists")
-    if later is not None:
-        # Documents that have little but long lists: those lists are counted out in blocks.
-        crowd = cut(later.where("is_long").select("x").distinct(), "join-crowd")
-        found = found.unionByName(_block_links(docs, crowd, percent))
-    mixed = cut(_costly(open_lists).where("pairs > 0").select("s"), "join-mixed")
-    open_lists = open_lists.join(mixed, "s")
-    one = open_lists.select("s", F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga")).distinct()
-    two = open_lists.select("s", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb")).distinct()
-    last = one.join(two, "s").where("a < b and ga <> gb").where(near).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    found = found.unionByName(_probe(docs, cut(last, "join-pairs"), shorts, percent))
-
-    labels = components(links.unionByName(found)).select(F.col("id").alias("doc_id"), F.col("component"))
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left").select("doc_id", "n_shingles", own.alias("component_id"))
-
-
-def _costly(lists: DataFrame) -> DataFrame:
-    """The pairs of different groups (g) in each list (s): all pairs, less those within a group."""
-    sizes = lists.groupBy("s", "g").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    return sizes.groupBy("s").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
-
-
-def _grouped(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    return lists.join(labels.select(F.col("id").alias("x"), F.col("component").alias("g")), "x", "left").withColumn("g", F.coalesce("g", "x"))
+        new = _links_to_heads(lists, sets, turn, percent)
+        links = new if links is None else links.unionByName(new)
+        before, lists = lists, _open_lists(_regrouped(lists, links), percent)
+        discard(before)
+    for _ in range(PRUNE_ROUNDS - 1):
+        before, lists = lists, _open_lists(lists, percent)
+        discard(before)
+    rest = divide_skip(lists, sets, percent)
+    links = rest if links is None else links.unionByName(rest)
+
+    if not linkable.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # Texts of one doc_id belong together.
+        texts = linkable.join(firsts, ["k1", "k2"]).select("doc_id", "x")
+        first = texts.groupBy("doc_id").agg(F.min("x").alias("a"))
+        links = links.unionByName(texts.join(first, "doc_id").where("a < x").select("a", F.col("x").alias("b")))
+    joined = components(links).join(firsts, F.col("id") == F.col("x"))
+    least = joined.groupBy("component").agg(F.min("rep").alias("least"))
+    labels = joined.join(least, "component").select("x", "least")
+    named = firsts.join(labels, "x", "left").select("k1", "k2", F.coalesce("least", "rep").alias("label"))
+    out = rows.join(named, ["k1", "k2"], "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -17,8 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
-from tidemark.llm.links import sized
+from tidemark.llm.common import cut, sized
 
 #: Hash buckets of words, and words added to each bucket of each domain.
 BUCKETS, SMOOTHING = 1 << 16, 2.0
