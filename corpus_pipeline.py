@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_tree, ngram_join, pu_toxicity, secret_ledger, soft_mixing
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import cut, sized, table
 
 #: Shares of tokens by domain; toxic documents have gone by then.
 TARGETS = {"clean": 0.97, "junk": 0.03}
@@ -34,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     joined = ngram_join.similarity_join(docs, 80)
     gone = cut(joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "pipeline-gone")
-    kept = docs.join(ngram_join.sized(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    kept = docs.join(sized(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
     if not _repeated(joined):
         return kept
     return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
