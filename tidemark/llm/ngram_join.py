@@ -43,8 +43,8 @@ from tidemark.llm.shingles import shingle_sets, slices
 SCREEN = 0.4
 #: Postings that a task of the screen holds.
 POSTINGS = 2_000_000
-#: Rounds of meeting heads, and of setting sets aside that have too few lists with other groups.
-HEAD_ROUNDS, PRUNE_ROUNDS = 2, 3
+#: Rounds of meeting heads.
+HEAD_ROUNDS = 2
 #: How much a long list costs against a short one in the choice of L (after Li, Lu and Lu, 2008).
 LONG_COST = 0.0085
 #: Shingles probed before it is asked whether the outcome is certain.
@@ -315,9 +315,6 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         links = new if links is None else links.unionByName(new)
         before, lists = lists, _open_lists(_regrouped(lists, links), percent)
         discard(before)
-    for _ in range(PRUNE_ROUNDS - 1):
-        before, lists = lists, _open_lists(lists, percent)
-        discard(before)
     rest = divide_skip(lists, sets, percent)
     links = rest if links is None else links.unionByName(rest)
 
