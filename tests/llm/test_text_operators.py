@@ -40,7 +40,7 @@ def brute_join(texts, percent=80):
 
 @pytest.mark.parametrize(("heads", "postings"), [(0, 2_000_000), (2, 300)])
 def test_join_equals_brute_force(spark, monkeypatch, heads, postings):
-    monkeypatch.setattr(ngram_join, "HEAD_ROUNDS", heads)
+    monkeypatch.setattr(ngram_join, "HEAD_TURNS", heads)
     monkeypatch.setattr(ngram_join, "POSTINGS", postings)
     rnd = random.Random(heads)
     texts = data.odd_texts()

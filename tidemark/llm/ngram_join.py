@@ -43,8 +43,10 @@ from tidemark.llm.shingles import shingle_sets, slices
 SCREEN = 0.4
 #: Postings that a task of the screen holds.
 POSTINGS = 2_000_000
-#: Rounds of meeting heads.
-HEAD_ROUNDS = 2
+#: Turns of meeting heads (fewer if one finds no link), and heads that a set meets in all turns but the first.
+HEAD_TURNS, HEADS = 4, 3
+#: What chance adds to the (binary logarithm of the) centrality of a head at most.
+CHANCE = 0.2
 #: How much a long list costs against a short one in the choice of L (after Li, Lu and Lu, 2008).
 LONG_COST = 0.0085
 #: Shingles probed before it is asked whether the outcome is certain.
@@ -225,31 +227,45 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
     return F.ceil((na + nb) * percent / (100 + percent)).cast("int")
 
 
-def _near(na: Column, nb: Column, percent: int) -> Column:
-    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+def _open_pair(percent: int) -> Column:
+    """Whether sets a and b of na and nb shingles, with ma and mb open lists, may link and their groups ga and gb are not one yet."""
+    return (F.col("ga") != F.col("gb")) & (F.least("ma", "mb") >= _needed(F.col("na"), F.col("nb"), percent))
+
+
+def _ranks(turn: int) -> list[Column]:
+    """Orders of the sets for a turn, as numbers: central ones first, by their mean list length, with some chance after the first turn."""
+    chance = [F.lit(0.0)] if turn == 0 else [F.pmod(F.xxhash64("x", F.lit(turn * HEADS + i)), F.lit(1 << 20)) / (1 << 20) for i in range(HEADS)]
+    return [F.shiftleft(((F.log2("c") + CHANCE * u) * -1e7).cast("long"), 32) + F.pmod(F.xxhash64("x", F.lit(turn)), F.lit(1 << 32)) for u in chance]
 
 
 def _links_to_heads(lists: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each set of ``lists`` (s, x, n, g) with the head of another group that most of its lists have, where they link."""
-    rank = F.struct(F.xxhash64("x", F.lit(turn)).alias("r"), F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
-    heads = lists.groupBy("s").agg(F.min(rank).alias("head"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("s", "head.b", "head.nb", "head.gb")
-    met = lists.join(heads, "s").where((F.col("g") != F.col("gb")) & _near(F.col("n"), F.col("nb"), percent)).groupBy("x", "n", "b", "nb").count()
-    pairs = met.groupBy(F.col("x").alias("a"), F.col("n").alias("na")).agg(F.max(F.struct("count", "b", "nb")).alias("most")).select("a", "na", "most.b", "most.nb")
-    pairs = cut(pairs, "join-heads")
+    """Each set of ``lists`` (s, x, n, g, m, c) with the heads that most of its lists have, where they link and are of another group."""
+    ranks = _ranks(turn)
+    ranked = lists.select("s", "x", *(r.alias(f"r{i}") for i, r in enumerate(ranks)))
+    firsts = ranked.groupBy("s").agg(*(F.min(f"r{i}").alias(f"h{i}") for i in range(len(ranks))))
+    met = lists.select("s", "x").join(firsts, "s").select("x", F.posexplode(F.array(*(f"h{i}" for i in range(len(ranks))))).alias("i", "r"))
+    most = met.groupBy("x", "i", "r").count().groupBy("x", "i").agg(F.max_by("r", F.struct("count", "r")).alias("r"))
+    members = cut(lists.groupBy("x").agg(F.first("n").alias("n"), F.first("g").alias("g"), F.first("c").alias("c"), F.first("m").alias("m")), "join-members")
+    heads = members.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), F.col("m").alias("mb"), F.explode(F.array(*ranks)).alias("r"))
+    mine = members.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("m").alias("ma"))
+    pairs = most.join(heads, "r").select(F.col("x").alias("a"), "b", "nb", "gb", "mb").join(mine, "a").where(_open_pair(percent))
+    pairs = cut(pairs.select("a", "b", _needed(F.col("na"), F.col("nb"), percent).alias("need")).distinct(), "join-heads")
     one = sets.select(F.col("x").alias("a"), F.col("shingles").alias("wanted"))
     two = sets.select(F.col("x").alias("b"), F.col("shingles").alias("held"))
-    both = pairs.join(one, "a").join(two, "b").withColumn("found", F.lit(0)).withColumn("need", _needed(F.col("na"), F.col("nb"), percent))
-    links = cut(_probe(both), "join-links")
-    discard(pairs)
+    links = cut(_probe(pairs.join(one, "a").join(two, "b").withColumn("found", F.lit(0))), "join-links")
+    discard(pairs, members)
     return links
 
 
 def _open_lists(lists: DataFrame, percent: int) -> DataFrame:
-    """Of (s, x, n, g) the rows of lists with several groups, of sets with at least T of them."""
-    mixed = lists.groupBy("s").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("s")
-    rows = cut(lists.join(mixed, "s"), "join-lists")
-    enough = rows.groupBy("x", "n").count().where(F.col("count") >= _least_shared(F.col("n"), percent)).select("x")
-    out = cut(rows.join(enough, "x"), "join-lists")
+    """Of (s, x, n, g) the rows of lists with several groups, of sets with at least T of them.
+
+    m is a set's number of such lists, and c their length for each of its shingles.
+    """
+    mixed = lists.groupBy("s").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("length")).where("lo < hi").select("s", "length")
+    rows = cut(lists.select("s", "x", "n", "g").join(mixed, "s"), "join-lists")
+    enough = rows.groupBy("x", "n").agg(F.count(F.lit(1)).alias("m"), (F.sum("length") / F.col("n")).alias("c")).where(F.col("m") >= _least_shared(F.col("n"), percent)).select("x", "m", "c")
+    out = cut(rows.select("s", "x", "n", "g").join(enough, "x"), "join-lists")
     discard(rows)
     return out
 
@@ -260,24 +276,24 @@ def _regrouped(lists: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def divide_skip(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All links (a, b) between sets of different groups, from the rows (s, x, n, g) of the inverted lists.
+    """All links (a, b) between sets of different groups, from the rows (s, x, n, g, m) of the inverted lists.
 
     Sets ask for partners of at least their own size (of equal ones, for those
     of greater number), which share at least T = ceil(2s / (1 + s) * n).
     """
     lengths = lists.groupBy("s").count()
-    ordered = lists.join(lengths, "s").groupBy("x", "n", "g").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("ls"))
+    ordered = lists.join(lengths, "s").groupBy("x", "n", "g", "m").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("ls"))
     t = F.ceil(2 * F.col("n") * percent / (100 + percent)).cast("int")
     aside = F.floor(F.col("t") / (LONG_COST * F.log2(F.element_at("ls", -1)["count"]) + 1)).cast("int")
     asking = ordered.withColumn("t", t).where(F.size("ls") >= F.col("t")).withColumn("aside", F.greatest(F.lit(0), F.least(F.col("t") - 1, aside))).withColumn("merge", F.size("ls") - F.col("aside"))
     asking = cut(
-        asking.select("x", "n", "g", (F.col("t") - F.col("aside")).alias("least"), F.slice("ls", F.lit(1), F.col("merge"))["s"].alias("short"), F.slice("ls", F.col("merge") + 1, F.col("aside"))["s"].alias("long")),
+        asking.select("x", "n", "g", "m", (F.col("t") - F.col("aside")).alias("least"), F.slice("ls", F.lit(1), F.col("merge"))["s"].alias("short"), F.slice("ls", F.col("merge") + 1, F.col("aside"))["s"].alias("long")),
         "join-asking",
     )
-    query = asking.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), "least", F.explode("short").alias("s"))
-    index = lists.select("s", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
+    query = asking.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("m").alias("ma"), "least", F.explode("short").alias("s"))
+    index = lists.select("s", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), F.col("m").alias("mb"))
     larger = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    met = query.join(index, "s").where((F.col("ga") != F.col("gb")) & larger & _near(F.col("na"), F.col("nb"), percent))
+    met = query.join(index, "s").where(larger & _open_pair(percent))
     merged = met.groupBy("a", "b", "na", "nb", "least").count().where(F.col("count") >= F.col("least"))
     candidates = cut(merged.select("a", "b", F.col("count").cast("int").alias("found"), _needed(F.col("na"), F.col("nb"), percent).alias("need")), "join-candidates")
     long = asking.select(F.col("x").alias("a"), F.array_sort("long").alias("wanted"))
@@ -310,8 +326,10 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     lists = _open_lists(sets.select(F.explode("shingles").alias("s"), "x", "n", F.col("x").alias("g")), percent)
     links = None
-    for turn in range(HEAD_ROUNDS):
+    for turn in range(HEAD_TURNS):
         new = _links_to_heads(lists, sets, turn, percent)
+        if new.isEmpty():
+            break
         links = new if links is None else links.unionByName(new)
         before, lists = lists, _open_lists(_regrouped(lists, links), percent)
         discard(before)
