@@ -45,6 +45,8 @@ SCREEN = 0.4
 POSTINGS = 2_000_000
 #: Turns of meeting heads (fewer if one finds no link), and heads that a set meets in all turns but the first.
 HEAD_TURNS, HEADS = 4, 3
+#: No more turns follow one in which this share of the pairs, or less, links: the search proper finds the rest.
+FEW = 0.1
 #: What chance adds to the (binary logarithm of the) centrality of a head at most.
 CHANCE = 0.2
 #: How much a long list costs against a short one in the choice of L (after Li, Lu and Lu, 2008).
@@ -238,8 +240,8 @@ def _ranks(turn: int) -> list[Column]:
     return [F.shiftleft(((F.log2("c") + CHANCE * u) * -1e7).cast("long"), 32) + F.pmod(F.xxhash64("x", F.lit(turn)), F.lit(1 << 32)) for u in chance]
 
 
-def _links_to_heads(lists: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each set of ``lists`` (s, x, n, g, m, c) with the heads that most of its lists have, where they link and are of another group."""
+def _links_to_heads(lists: DataFrame, sets: DataFrame, turn: int, percent: int) -> tuple[DataFrame, int]:
+    """Each set of ``lists`` (s, x, n, g, m, c) with the heads that most of its lists have, where they link and are of another group; and how many such pairs met."""
     ranks = _ranks(turn)
     ranked = lists.select("s", "x", *(r.alias(f"r{i}") for i, r in enumerate(ranks)))
     firsts = ranked.groupBy("s").agg(*(F.min(f"r{i}").alias(f"h{i}") for i in range(len(ranks))))
@@ -253,8 +255,9 @@ def _links_to_heads(lists: DataFrame, sets: DataFrame, turn: int, percent: int)
     one = sets.select(F.col("x").alias("a"), F.col("shingles").alias("wanted"))
     two = sets.select(F.col("x").alias("b"), F.col("shingles").alias("held"))
     links = cut(_probe(pairs.join(one, "a").join(two, "b").withColumn("found", F.lit(0))), "join-links")
+    met = pairs.count()
     discard(pairs, members)
-    return links
+    return links, met
 
 
 def _open_lists(lists: DataFrame, percent: int) -> DataFrame:
@@ -327,12 +330,15 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     lists = _open_lists(sets.select(F.explode("shingles").alias("s"), "x", "n", F.col("x").alias("g")), percent)
     links = None
     for turn in range(HEAD_TURNS):
-        new = _links_to_heads(lists, sets, turn, percent)
-        if new.isEmpty():
+        new, met = _links_to_heads(lists, sets, turn, percent)
+        some = new.count()
+        if not some:
             break
         links = new if links is None else links.unionByName(new)
         before, lists = lists, _open_lists(_regrouped(lists, links), percent)
         discard(before)
+        if some < FEW * met:
+            break
     rest = divide_skip(lists, sets, percent)
     links = rest if links is None else links.unionByName(rest)
 
