@@ -1,18 +1,20 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
-A linear model over the words of a text is trained in numpy from confirmed
-toxic documents and unlabelled ones. The risk of the unlabelled part is
-corrected by the class prior, and where the correction would make the negative
-risk less than zero the step goes back up instead, so the model cannot overfit
-the positives. Scores are then moved so that 0.3 is the operating point.
+A sparse linear model over the words that a text has, whatever its length, is
+trained in numpy from confirmed toxic documents and unlabelled ones. The risk
+of the unlabelled part is corrected by the class prior, and where the
+correction would make the negative risk less than zero the step goes back up
+instead, so the model cannot overfit the positives. Each step shrinks all
+weights towards zero, so words that say little have none. Scores are then moved
+so that 0.3 is the operating point, which is found on labelled rows of the
+learning part by models that have not seen them.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,13 +26,14 @@ from pyspark.sql import types as T
 CUTOFF = 0.3
 #: Bounds of the training sample: confirmed toxic rows, and unlabelled rows.
 MAX_POSITIVE, MAX_UNLABELLED = 2000, 5000
-#: Share of the confirmed toxic rows (and rows at least) that must hold a word for it to be a feature.
-LEAST_SHARE, LEAST_DOCS = 0.02, 5
+#: Confirmed toxic rows of the sample that must hold a word for it to be a feature.
+LEAST_DOCS = 8
+#: Letters of a word's beginning that are a feature of their own.
+START = 5
+#: How much each step of length 1 shrinks a weight, and the folds that the operating point is found in.
+SHRINK, FOLDS = 0.1, 3
 
-#: Bytes of a word's beginning that are a feature of their own.
-START = 4
-
-_WORD = re.compile(rb"[a-z\x80-\xff]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -38,26 +41,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def share(n: int, total: int) -> float:
-    """The damped share of a word that a text has n times among ``total`` words."""
-    return min(1.0, 60.0 * n / total) ** 0.5
-
-
-def counted(text: str | None) -> tuple[list[tuple[bytes, int]], int]:
-    """A text's words and the beginnings of its longer words, each with its number, and the number of words."""
-    words = _WORD.findall((text or "").lower().encode())
-    counts, starts = Counter(words), Counter()
-    for word, n in counts.items():
-        if len(word) > START:
-            starts[b"^" + word[:START]] += n
-    return [*counts.items(), *starts.items()], len(words)
-
-
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Checksums of what ``counted`` gives, and the damped share of the text that each has."""
-    counts, total = counted(text)
-    keys = np.fromiter((zlib.crc32(w) for w, _ in counts), dtype=np.int64, count=len(counts))
-    return keys, np.array([share(n, total) for _, n in counts], dtype=np.float32)
+def features(text: str | None) -> set[int]:
+    """Checksums of a text's distinct words, and of the beginnings of its longer ones."""
+    words = set(_WORD.findall((text or "").lower()))
+    words |= {"^" + w[:START] for w in words if len(w) > START}
+    return {zlib.crc32(w.encode()) for w in words}
 
 
 class Model:
@@ -66,59 +54,58 @@ class Model:
     def __init__(self, weights: dict[int, float], bias: float, point: float = 0.0):
         self.weights, self.bias, self.point = weights, bias, point
 
-    def margin(self, text: str | None) -> float:
-        counts, total = counted(text)
-        z, get = self.bias, self.weights.get
-        for word, n in counts:
-            weight = get(zlib.crc32(word))
-            if weight:
-                z += weight * share(n, total)
-        return z
+    def margin(self, found: Iterable[int]) -> float:
+        return self.bias + sum(self.weights[k] for k in found if k in self.weights)
 
     def score(self, text: str | None) -> float:
         """0 to 1; the operating point is at ``CUTOFF``."""
         shift = np.log(CUTOFF / (1 - CUTOFF)) - self.point
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(text) + shift, -30, 30))))
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(features(text)) + shift, -30, 30))))
+
 
+Rows = list[np.ndarray]
 
-Rows = list[tuple[np.ndarray, np.ndarray]]
 
+def risk(z: np.ndarray, n_p: int, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk of margins z, the first n_p of them of positive rows, and its gradient.
 
-def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 200, rate: float = 0.25, decay: float = 1e-4) -> Model:
-    """Minimise the non-negative risk by Adam over the whole sample."""
+    Where the corrected negative risk is below zero the gradient is that of its
+    opposite alone (Kiryo et al., 2017).
+    """
+    p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
+    called_positive, called_negative, n_u = np.logaddexp(0, -z), np.logaddexp(0, z), len(z) - n_p
+    negative = called_negative[n_p:].mean() - prior * called_negative[:n_p].mean()
+    slope = np.concatenate([-prior * p[:n_p] / n_p, p[n_p:] / n_u])
+    if negative < 0:
+        return prior * called_positive[:n_p].mean(), -slope
+    slope[:n_p] += prior * (p[:n_p] - 1) / n_p
+    return prior * called_positive[:n_p].mean() + negative, slope
+
+
+def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 200, rate: float = 0.1) -> Model:
+    """Minimise the non-negative risk by Adam over the whole sample, with shrinking weights."""
     docs = [*positive, *unlabelled]
-    keys, seen = np.unique(np.concatenate([k for k, _ in positive]) if positive else np.zeros(0, np.int64), return_counts=True)
-    keys = keys[seen >= max(LEAST_DOCS, LEAST_SHARE * len(positive))]
+    keys, seen = np.unique(np.concatenate(positive) if positive else np.zeros(0, np.int64), return_counts=True)
+    keys = keys[seen >= LEAST_DOCS]
     if not len(keys) or not unlabelled:
         return Model({}, -5.0)
-    rows = np.repeat(np.arange(len(docs)), [len(k) for k, _ in docs])
-    found, vals = np.concatenate([k for k, _ in docs]), np.concatenate([v for _, v in docs]).astype(float)
+    rows, found = np.repeat(np.arange(len(docs)), [len(k) for k in docs]), np.concatenate(docs)
     cols = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
     keep = keys[cols] == found
-    rows, cols, vals = rows[keep], cols[keep], vals[keep]
-    n_p, n, m = len(positive), len(docs), len(keys)
+    rows, cols = rows[keep], cols[keep]
+    n, m = len(docs), len(keys)
     w, b = np.zeros(m), -2.0
     mean, square = np.zeros(m + 1), np.zeros(m + 1)
-    sigmoid = lambda z: 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
     for step in range(1, rounds + 1):
-        z = np.bincount(rows, weights=vals * w[cols], minlength=n) + b
-        p = sigmoid(z)
-        loss_neg = np.logaddexp(0, z)  # of calling a row negative
-        negative_risk = loss_neg[n_p:].mean() - prior * loss_neg[:n_p].mean()
-        dz = np.zeros(n)
-        if negative_risk >= 0:
-            dz[:n_p] = prior * (p[:n_p] - 1) / n_p - prior * p[:n_p] / n_p
-            dz[n_p:] = p[n_p:] / (n - n_p)
-        else:
-            dz[:n_p] = prior * p[:n_p] / n_p
-            dz[n_p:] = -p[n_p:] / (n - n_p)
-        g = np.append(np.bincount(cols, weights=vals * dz[rows], minlength=m) + decay * w, dz.sum())
+        _, dz = risk(np.bincount(rows, weights=w[cols], minlength=n) + b, len(positive), prior)
+        g = np.append(np.bincount(cols, weights=dz[rows], minlength=m), dz.sum())
         mean = 0.9 * mean + 0.1 * g
         square = 0.999 * square + 0.001 * g * g
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         w -= move[:-1]
+        w = np.sign(w) * np.maximum(np.abs(w) - SHRINK * rate, 0)
         b -= move[-1]
-    return Model({int(k): float(v) for k, v in zip(keys, w) if abs(v) > 1e-6}, float(b))
+    return Model({int(k): float(v) for k, v in zip(keys, w) if v}, float(b))
 
 
 def operating_point(toxic: list[float], clean: list[float], prior: float) -> float:
@@ -139,13 +126,22 @@ def operating_point(toxic: list[float], clean: list[float], prior: float) -> flo
     return at
 
 
-_SAMPLE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("k", T.ArrayType(T.LongType())), T.StructField("v", T.ArrayType(T.FloatType()))])
+def unseen_margins(positive: Rows, clean: Rows, unlabelled: Rows, prior: float) -> tuple[list[float], list[float]]:
+    """Margins of labelled rows, each by a model trained without its fold."""
+    toxic, fine = [], []
+    for fold in range(FOLDS):
+        model = fit([r for i, r in enumerate(positive) if i % FOLDS != fold], unlabelled, prior)
+        toxic += [model.margin(r.tolist()) for r in positive[fold::FOLDS]]
+        fine += [model.margin(r.tolist()) for r in clean[fold::FOLDS]]
+    return toxic, fine
+
+
+_SAMPLE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("k", T.ArrayType(T.LongType()))])
 
 
 def _sampled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        found = [features(t) for t in frame["text"]]
-        yield pd.DataFrame({"kind": frame["kind"], "k": [k for k, _ in found], "v": [v for _, v in found]})
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "kind": frame["kind"], "k": [sorted(features(t)) for t in frame["text"]]})
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
@@ -164,24 +160,20 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     marked = known.where("toxic = 1").orderBy(order, "doc_id").limit(MAX_POSITIVE)
     clean = known.where("toxic = 0").orderBy(order, "doc_id").limit(MAX_POSITIVE)
     learnable = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    free = learnable.join(known, "doc_id", "left_anti").orderBy(order, "doc_id").limit(MAX_UNLABELLED)
-    # Bounded by the sample sizes.
+    free = learnable.distinct().join(known, "doc_id", "left_anti").orderBy(order, "doc_id").limit(MAX_UNLABELLED)
     chosen = marked.select("doc_id", F.lit("p").alias("kind")).unionByName(clean.select("doc_id", F.lit("n").alias("kind"))).unionByName(free.select("doc_id", F.lit("u").alias("kind")))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("kind", "text").mapInPandas(_sampled, _SAMPLE).toArrow().combine_chunks()
+    # Bounded by the sample sizes, with one text for each id.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "kind").agg(F.min("text").alias("text"))
+    rows = texts.mapInPandas(_sampled, _SAMPLE).toArrow().sort_by("doc_id").combine_chunks()
     sets: dict[str, Rows] = {}
-    keys, vals = (rows.column(c).combine_chunks() for c in ("k", "v"))
+    keys = rows.column("k").combine_chunks()
     for kind, a, b in zip(rows.column("kind").to_pylist(), keys.offsets.to_pylist(), keys.offsets.to_pylist()[1:]):
-        sets.setdefault(kind, []).append((keys.values[a:b].to_numpy(), vals.values[a:b].to_numpy()))
-    positive, unlabelled = sets.get("p", []), sets.get("u", [])
+        sets.setdefault(kind, []).append(keys.values[a:b].to_numpy())
+    positive, clean_rows, unlabelled = sets.get("p", []), sets.get("n", []), sets.get("u", [])
     if not unlabelled:  # a wholly labelled table: its own rows, without their labels, are the unlabelled text
-        unlabelled = sets.get("n", []) + positive
+        unlabelled = clean_rows + positive
     model = fit(positive, unlabelled, prior)
-
-    def margin(row: tuple[np.ndarray, np.ndarray]) -> float:
-        return model.bias + sum(v * model.weights.get(k, 0.0) for k, v in zip(row[0].tolist(), row[1].tolist()))
-
-    model.point = operating_point([margin(f) for f in positive], [margin(f) for f in sets.get("n", [])], prior)
+    model.point = operating_point(*unseen_margins(positive, clean_rows, unlabelled, prior), prior)
     return model
 
 
