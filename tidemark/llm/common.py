@@ -88,6 +88,14 @@ def sized(df: DataFrame) -> DataFrame:
     return broadcast(df) if few else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def map_columns(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str, rows: Callable[..., list]) -> DataFrame:
     """Apply ``rows`` to the named columns of each Arrow batch (as lists) and return its columns.
 
