@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_tree, ngram_join, pu_toxicity, secret_ledger, soft_mixing
-from tidemark.llm.common import cut, sized, table
+from tidemark.llm.common import cut, free_name, sized, table
 
 #: Shares of tokens by domain; toxic documents have gone by then.
 TARGETS = {"clean": 0.97, "junk": 0.03}
@@ -22,7 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model calls toxic go."""
+    """Documents that the toxicity model calls toxic go; null and empty texts are scored like texts without words."""
     score = pu_toxicity.scorer(docs, table(spark, sf_dir, "labels"))
     return docs.where(score("text") < pu_toxicity.CUTOFF)
 
@@ -30,14 +30,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays, that of the smallest doc_id.
 
-    Of several rows of one doc_id one stays; rows without an id all stay.
+    Repeated rows are one; different texts of one doc_id are one document and
+    stay together. Rows without an id, and texts without words, all stay.
     """
     joined = ngram_join.similarity_join(docs, 80)
-    gone = cut(joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "pipeline-gone")
-    kept = docs.join(sized(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    key = free_name(docs, "gone")
+    gone = cut(joined.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "pipeline-gone")
+    kept = docs.join(sized(gone), F.col("doc_id") == F.col(key), "left_anti")
     if not _repeated(joined):
         return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    named = kept.where("doc_id is not null")
+    return kept.where("doc_id is null").unionByName(named.dropDuplicates(["doc_id", "text"]))
 
 
 def _repeated(joined: DataFrame) -> bool:
@@ -46,7 +49,7 @@ def _repeated(joined: DataFrame) -> bool:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; no document goes."""
+    """Secrets are masked; no document goes, and a null text stays null."""
     return secret_ledger.redact(docs)
 
 
