@@ -40,7 +40,7 @@ LOOKAHEAD = 2
 #: Characters of a text and bytes of a piece that are encoded directly.
 LEAF_CHARS, LEAF_BYTES = 4096, 48
 #: Pieces remembered by one Python worker.
-MEMO_PIECES = 600_000
+MEMO_PIECES = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

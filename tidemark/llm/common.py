@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -11,7 +12,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import broadcast
 
@@ -96,15 +99,39 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bytes of text and rows that a Python worker handles at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 22, 2000
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of bounded rows and bytes of the given text column, one row at least."""
+    for batch in batches:
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))])
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1
+            n = max(1, min(upto - at, SLICE_ROWS))
+            yield batch.slice(at, n)
+            at += n
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks and share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only in glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_columns(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str, rows: Callable[..., list]) -> DataFrame:
-    """Apply ``rows`` to the named columns of each Arrow batch (as lists) and return its columns.
+    """Apply ``rows`` to the named columns (as lists, the last one of text), some rows at a time, and return its columns.
 
     ``rows`` gets one list for each input column and returns one list for each
     field of ``schema``, all of one length.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, len(columns) - 1):
             out = rows(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
             yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema)], schema=schema)
 

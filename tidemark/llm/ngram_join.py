@@ -35,14 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, discard, sized
+from tidemark.llm.common import cut, discard, give_back, sized, text_slices
 from tidemark.llm.links import components
-from tidemark.llm.shingles import shingle_sets, slices
+from tidemark.llm.shingles import shingle_sets
 
 #: Share of all lists, by hash, that the screen merges.
 SCREEN = 0.4
 #: Postings that a task of the screen holds.
-POSTINGS = 2_000_000
+POSTINGS = 1_000_000
 #: Turns of meeting heads (fewer if one finds no link), and heads that a set meets in all turns but the first.
 HEAD_TURNS, HEADS = 4, 3
 #: No more turns follow one in which this share of the pairs, or less, links: the search proper finds the rest.
@@ -76,7 +76,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in text_slices(batches, 1):
             sets = shingle_sets(batch.column(1))
             keys = _keys(sets)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1])], schema=schema)
@@ -141,6 +141,8 @@ def _counted(table: pa.Table) -> pa.Table:
         tell = np.repeat(shared, np.diff(np.append(at, len(keys)))) & ~marked
         counts = pa.table({"k1": keys[tell], "pack": pack[tell]}).group_by(["k1", "pack"]).aggregate([([], "count_all")])
         out.append(pa.table([counts["k1"], counts["pack"], counts["count_all"].cast(pa.int32()), pa.nulls(len(counts), pa.int32())], schema=_COUNTS))
+        del s, keys, marked, pack, order, tell
+    give_back()
     return pa.concat_tables(out) if out else _COUNTS.empty_table()
 
 
@@ -157,7 +159,7 @@ def _screened(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
             parts, sizes, keys = zip(*held)
             return _packed([p for ps in parts for p in ps], np.concatenate(sizes), np.concatenate(keys), task, turn, percent, buckets)
 
-        for batch in slices(batches, 0):
+        for batch in text_slices(batches, 0):
             sets = [s for s in shingle_sets(batch.column(0)) if len(s)]
             if sets:
                 parts = [s[: np.searchsorted(s, limit)].copy() for s in sets]
@@ -180,7 +182,7 @@ def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in text_slices(batches, 0):
             sets = shingle_sets(batch.column(0))
             keys = _keys(sets)
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), _lists(sets)], schema=schema)

@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,9 +182,9 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[str], Column]:
     """A function from a text column to its score, by a model learned from ``docs``."""
     model = learn(docs, labels)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts], dtype=float)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
     return score
 

@@ -8,15 +8,14 @@ sums over the text, so no word becomes a Python object.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Words of a shingle.
 WORDS = 5
-#: Bytes hashed at once, and bytes and texts of a slice.
-CHUNK, SLICE_BYTES, SLICE_TEXTS = 1 << 18, 1 << 22, 2000
+#: Bytes hashed at once.
+CHUNK = 1 << 18
 
 
 def _numbers(key: str, n: int) -> np.ndarray:
@@ -112,17 +111,3 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.int64))
     return out
-
-
-def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut into slices of bounded texts and bytes (of the given string column), one row at least."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        at, texts = 0, batch.column(column)
-        _, ends = _buffers(texts) if not texts.null_count else (None, np.concatenate([[0], np.cumsum([len(t or "") * 4 for t in texts.to_pylist()])]))
-        while at < batch.num_rows:
-            upto = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1
-            n = max(1, min(upto - at, SLICE_TEXTS))
-            yield batch.slice(at, n)
-            at += n
