@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import data
@@ -143,6 +145,46 @@ def test_junk_heavy_source_keeps_the_rule(spark):
     assert {i for i, kept in got.items() if not kept} == {i for i in range(300) if i % 10 < 3}
 
 
+def brute_limits(measured):
+    """The thresholds by plain quantiles of lists (the sketches are exact on few rows)."""
+
+    def rank(values, q):
+        return sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+
+    def limit(rows, m, parent):
+        top, size, event = adaptive_quality.MEASURES[m]
+        raised = event / max(1, rank([r[size] for r in rows], 0.5))
+        values = [rank([r[m] for r in rows], q) + raised for q in adaptive_quality.RANKS]
+        wide, middle = max((b / a, math.sqrt(a * b)) for a, b in zip(values, values[1:]))
+        free = middle if wide >= adaptive_quality.WIDE else values[-1] * adaptive_quality.WIDE
+        if parent is None:
+            return free - raised
+        n = len(rows)
+        drawn = math.exp((n * math.log(free) + adaptive_quality.ALIKE * math.log(parent + raised)) / (n + adaptive_quality.ALIKE)) - raised
+        return min(drawn, max(parent, values[0] * adaptive_quality.WIDE - raised))
+
+    out = {}
+    for m in adaptive_quality.MEASURES:
+        whole = limit(measured, m, None)
+        for lang in {r["lang"] for r in measured}:
+            of_lang = [r for r in measured if r["lang"] == lang]
+            above = limit(of_lang, m, whole)
+            for source in {r["source"] for r in of_lang}:
+                out[lang, source, m] = limit([r for r in of_lang if r["source"] == source], m, above)
+    return out
+
+
+def test_thresholds_and_verdicts_equal_plain_quantiles(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source", F.when(F.col("lang") != "es", F.col("lang")).alias("lang"))
+    rows = adaptive_quality._with_ratios(adaptive_quality.measure_table(docs)).collect()
+    want = brute_limits([r for r in rows if not r.base_failed])
+    got = {(r.lang, r.source, m): r[f"max_{m}"] for r in adaptive_quality.thresholds(spark.createDataFrame(rows)).collect() for m in adaptive_quality.MEASURES}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+    assert len({round(v, 9) for (_, _, m), v in got.items() if m == "shouting"}) > 1  # groups differ
+    kept = {r.doc_id: not r.base_failed and all(r[m] <= want[r.lang, r.source, m] for m in adaptive_quality.MEASURES) for r in rows}
+    assert {r.doc_id: r.kept for r in adaptive_quality.judge(docs).collect()} == kept and len(set(kept.values())) == 2
+
+
 # -- secrets ----------------------------------------------------------------
 
 _ASSIGN = re.compile("((?:" + "|".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key")) + r"))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")

@@ -1,11 +1,15 @@
 """Quality rules with thresholds that follow each language and source.
 
 Every document gets a handful of measures. For each (lang, source) group a
-mergeable quantile sketch of every measure is kept; sketches of small groups
-are merged into those of their language, and these into one of the whole
-table. A document fails when a measure lies far outside the bulk of its
-group; a group's threshold exceeds its language's, and this the table's, only
-as far as its median does. The thresholds reach the documents by a join.
+mergeable quantile sketch of every measure is kept over the documents that pass
+the base rule; sketches of groups are merged into those of their language, and
+these into one of the whole table. Junk shows as a cluster that a wide gap in
+the upper quantiles parts from the bulk: the threshold lies in the widest gap,
+or beyond the last quantile where no gap is wide. A group's threshold is drawn
+towards its language's by its number of documents, and may exceed it only as
+far as the group's median does, so a group full of junk cannot switch a rule
+off; a language's follows the table's likewise. The thresholds reach the
+documents by a join.
 """
 
 from __future__ import annotations
@@ -20,18 +24,20 @@ from tidemark.llm.common import cut, map_columns
 #: The symbols of the contract, and ASCII white space.
 SYMBOLS, BLANKS, CAPITALS = b"#*$%&|<>", (" ", "\t", "\n", "\x0b", "\x0c", "\r"), b"ABCDEFGHIJKLMNOPQRSTUVWXYZ!"
 
-#: Measures, and the least distance over a group's upper quartile that counts as far.
-MEASURES = {"symbols": 0.05, "repeats": 0.35, "shouting": 0.15, "dup_lines": 0.20}
-#: Distances are this many times the group's spread (upper quartile less median), where that is more.
-SPREADS = 6.0
-#: Rows below which a group takes its language's sketch, and a language the table's.
-LEAST_ROWS = 200
+#: Measures: what is counted, in what, and how much a single event counts (a repeated window is six words at least).
+MEASURES = {"symbols": ("n_symbols", "word_chars", 1), "repeats": ("n_repeat_words", "n_words", 6), "shouting": ("n_capitals", "word_chars", 1), "dup_lines": ("n_dup_lines", "n_lines", 1)}
+#: Ranks between which gaps are looked for.
+RANKS = (0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.925, 0.95, 0.97, 0.98, 0.99, 0.995)
+#: A gap is wide if values, raised by one event in a text of median size, grow this many times over it.
+WIDE = 4.0
+#: Documents at which a group's own threshold and its parent's weigh alike.
+ALIKE = 50
 #: Size parameter of the sketches.
 SKETCH_K = 400
 
 
-def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals of a text (null: empty)."""
+def measures(text: str | None) -> tuple[int, ...]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines of a text (null: empty)."""
     text = text or ""
     data = text.encode()
     words = data.split()  # bytes split at exactly \x20 and \x09-\x0D
@@ -43,6 +49,7 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
         len(lines) - len(set(lines)),
         repeated_words(words),
         len(data) - len(data.translate(None, CAPITALS)),
+        len(lines),
     )
 
 
@@ -73,11 +80,11 @@ def repeated_words(words: list[bytes]) -> int:
 
 def measure_table(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source and the counts of every document."""
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines"]
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), *((n, pa.int64()) for n in names)])
 
     def rows(keys: list, langs: list, sources: list, texts: list) -> list:
-        counts = list(zip(*map(measures, texts))) or [()] * 6
+        counts = list(zip(*map(measures, texts))) or [()] * 7
         return [keys, langs, sources, *counts]
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", "text")
@@ -88,32 +95,41 @@ def _ratio(top: str, bottom: str) -> Column:
     return F.col(top) / F.greatest(F.col(bottom), F.lit(1))
 
 
-def thresholds(measured: DataFrame) -> DataFrame:
-    """One row for each (lang, source): the threshold of every measure."""
-    sketches = cut(
-        measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in MEASURES)),
-        "quality-sketches",
-    )
-    merged = [F.kll_merge_agg_double(m).alias(f"lang_{m}") for m in MEASURES]
-    by_lang = sketches.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("lang_n"), *merged)
-    overall = sketches.agg(*(F.kll_merge_agg_double(m).alias(f"all_{m}") for m in MEASURES))
-    # overall is one row, and by_lang has fewer rows than there are groups.
-    joined = sketches.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").crossJoin(F.broadcast(overall))
+def _with_ratios(counted: DataFrame) -> DataFrame:
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return counted.select("*", failed.alias("base_failed"), *(_ratio(top, bottom).alias(m) for m, (top, bottom, _) in MEASURES.items()))
+
 
-    def limit(measure: str, least: float) -> Column:
-        whole = F.col(f"all_{measure}")
-        lang = F.when(F.col("lang_n") >= LEAST_ROWS, F.col(f"lang_{measure}")).otherwise(whole)
-        own = F.when(F.col("n") >= LEAST_ROWS, F.col(measure)).otherwise(lang)
+def _limit(m: str, own: str, parent: Column | None) -> Column:
+    """Threshold of measure ``m`` from the sketches in columns that begin with ``own``."""
+    _, size, event = MEASURES[m]
+    raised = event / F.greatest(F.kll_sketch_get_quantile_bigint(F.col(f"{own}{size}"), F.lit(0.5)), F.lit(1))
+    values = F.transform(F.kll_sketch_get_quantile_double(F.col(f"{own}{m}"), F.array(*map(F.lit, RANKS))), lambda v: v + raised)
+    gaps = F.zip_with(F.slice(values, 1, len(RANKS) - 1), F.slice(values, 2, len(RANKS) - 1), lambda low, high: F.struct((high / low).alias("wide"), F.sqrt(low * high).alias("middle")))
+    widest = F.array_max(gaps)
+    free = F.when(widest["wide"] >= WIDE, widest["middle"]).otherwise(F.element_at(values, -1) * WIDE)
+    if parent is None:
+        return free - raised
+    n = F.col(f"{own}n")
+    drawn = F.exp((n * F.log(free) + ALIKE * F.log(parent + raised)) / (n + ALIKE)) - raised
+    return F.least(drawn, F.greatest(parent, F.element_at(values, 1) * WIDE - raised))
 
-        def fence(sketch: Column, parent: Column | None) -> Column:
-            upper, middle = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.75, 0.5))
-            free = upper + F.greatest(F.lit(least), SPREADS * (upper - middle))
-            # Over the parent's limit only as far as the median carries it: junk of less than half the rows does not.
-            return free if parent is None else F.least(free, F.greatest(parent, middle + least))
 
-        return fence(own, fence(lang, fence(whole, None)))
+def thresholds(measured: DataFrame) -> DataFrame:
+    """One row for each (lang, source) with documents that pass the base rule: the threshold of every measure."""
+    sizes = sorted({size for _, size, _ in MEASURES.values()})
+    sketched = [F.count(F.lit(1)).alias("own_n"), *(F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(f"own_{m}") for m in MEASURES), *(F.kll_sketch_agg_bigint(c, F.lit(SKETCH_K)).alias(f"own_{c}") for c in sizes)]
+    groups = cut(measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(*sketched), "quality-sketches")
+
+    def merged(name: str) -> list[Column]:
+        return [F.sum("own_n").alias(f"{name}_n"), *(F.kll_merge_agg_double(f"own_{m}").alias(f"{name}_{m}") for m in MEASURES), *(F.kll_merge_agg_bigint(f"own_{c}").alias(f"{name}_{c}") for c in sizes)]
 
-    return joined.select("lang", "source", *(limit(m, least).alias(f"max_{m}") for m, least in MEASURES.items()))
+    # One row, or none where no document passes.
+    whole = groups.agg(*merged("all")).where("all_n > 0").select(*(_limit(m, "all_", None).alias(m) for m in MEASURES)).first()
+    above = {m: F.lit(whole[m] if whole else None).cast("double") for m in MEASURES}
+    langs = groups.groupBy(F.col("lang").alias("_lang")).agg(*merged("lang")).select("_lang", *(_limit(m, "lang_", above[m]).alias(f"lang_max_{m}") for m in MEASURES))
+    joined = groups.join(langs, F.col("lang").eqNullSafe(F.col("_lang")))
+    return joined.select("lang", "source", *(_limit(m, "own_", F.col(f"lang_max_{m}")).alias(f"max_{m}") for m in MEASURES))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -123,22 +139,14 @@ def judge(docs: DataFrame) -> DataFrame:
     n_repeat_words, base_failed and kept. Null texts count as empty and fail;
     null lang or source is a group like any other; repeated rows are judged
     each; an empty table gives no rows. Thresholds of groups over ``SKETCH_K``
-    rows are quantiles within the sketch's rank error (about 1 %), which the
-    least distances far exceed.
+    rows are quantiles within the sketch's rank error (about 1 %).
     """
-    counted = cut(measure_table(docs), "quality-measures")
-    measured = counted.select(
-        "*",
-        _ratio("n_symbols", "word_chars").alias("symbols"),
-        _ratio("n_repeat_words", "n_words").alias("repeats"),
-        _ratio("n_capitals", "word_chars").alias("shouting"),
-        _ratio("n_dup_lines", "n_words").alias("dup_lines"),
-    )
+    measured = _with_ratios(cut(measure_table(docs), "quality-measures"))
     limits = cut(thresholds(measured), "quality-limits")
     limits = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *(f"max_{m}" for m in MEASURES))
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     within = F.lit(True)
     for m in MEASURES:
         within = within & (F.col(m) <= F.col(f"max_{m}"))
-    return measured.join(limits, same, "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.coalesce(within, F.lit(True))).alias("kept"))
+    kept = ~F.col("base_failed") & F.coalesce(within, F.lit(True))
+    return measured.join(limits, same, "left").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
