@@ -15,10 +15,11 @@ candidates that are left. It runs here in three steps.
    of near copies with one comparison for each member, so no pair within a
    group is listed.
 3. Search. Lists with more than one group are the inverted lists of the
-   search proper. A set asks for partners of other groups and of at least its
-   own size; its lists are ordered by length, L follows from T and the longest
-   one, the short lists are merged to T - L occurrences, and each candidate is
-   probed by binary search for the long ones, until the outcome is certain.
+   search proper. A set asks for partners in other groups of its
+   group's size or more; its lists, which hold groups, are ordered by length, L follows from
+   T and the longest one, and the short lists are merged to T - L occurrences.
+   Members of the groups left are probed for the set's shingles by binary
+   search, until the outcome is certain.
 
 Links between groups are all found, and groups are joined by links, so
 components are exact.
@@ -49,8 +50,8 @@ HEAD_TURNS, HEADS = 4, 3
 FEW = 0.1
 #: What chance adds to the (binary logarithm of the) centrality of a head at most.
 CHANCE = 0.2
-#: How much a long list costs against a short one in the choice of L (after Li, Lu and Lu, 2008).
-LONG_COST = 0.0085
+#: How much probing a long list costs against merging it, in the choice of L (after Li, Lu and Lu, 2008): merging means a shuffle here, so L is near T.
+LONG_COST = 0.001
 #: Shingles probed before it is asked whether the outcome is certain.
 PROBE = 64
 
@@ -119,31 +120,43 @@ def _packed(parts: list[np.ndarray], sizes: np.ndarray, keys: np.ndarray, task:
     yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _PACK)], schema=_PACK)
 
 
-_COUNTS = pa.schema([("k1", pa.int64()), ("pack", pa.int64()), ("count", pa.int32()), ("need", pa.int32())])
+_REPLY = pa.schema([("pack", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
 
 
 def _counted(table: pa.Table) -> pa.Table:
-    """For each set and pack of one bucket: how many of its unmarked lists turn out to be shared."""
-    table = table.combine_chunks()
+    """Of one bucket, for each pack: the keys of its sets and how many of their unmarked lists turn out to be shared."""
     kind = table.column("postings").to_numpy()
-    out = []
-    for pack, a, b, c in zip(*(table.filter(pa.array(~kind)).column(n).to_pylist() for n in ("pack", "a", "b", "c"))):
-        keys = np.frombuffer(a, np.int64)
-        out.append(pa.table([keys, np.full(len(keys), pack), np.frombuffer(b, np.int32), np.frombuffer(c, np.int32)], schema=_COUNTS))
-    packs, a, b, c = (table.filter(pa.array(kind)).column(n).to_pylist() for n in ("pack", "a", "b", "c"))
-    if a:
+    own, rest = table.filter(pa.array(~kind)), table.filter(pa.array(kind))
+    replies = list(zip(*(own.column(n).to_pylist() for n in ("pack", "a", "b", "c"))))
+    if len(rest):
+        a, b, c = (rest.column(n).to_pylist() for n in ("a", "b", "c"))
         s, keys, marked = (np.concatenate([np.frombuffer(x, t) for x in col]) for col, t in ((a, np.int64), (b, np.int64), (c, np.bool_)))
-        pack = np.repeat(np.array(packs, np.int64), [len(x) // 8 for x in a])
+        pack = np.repeat(rest.column("pack").to_numpy(), [len(x) // 8 for x in a])
         order = np.argsort(s, kind="stable")
         at = _starts(s[order])
         keys, marked, pack = keys[order], marked[order], pack[order]
         shared = np.logical_or.reduceat(marked, at) | (np.minimum.reduceat(keys, at) != np.maximum.reduceat(keys, at))
         tell = np.repeat(shared, np.diff(np.append(at, len(keys)))) & ~marked
-        counts = pa.table({"k1": keys[tell], "pack": pack[tell]}).group_by(["k1", "pack"]).aggregate([([], "count_all")])
-        out.append(pa.table([counts["k1"], counts["pack"], counts["count_all"].cast(pa.int32()), pa.nulls(len(counts), pa.int32())], schema=_COUNTS))
-        del s, keys, marked, pack, order, tell
+        keys, pack = keys[tell], pack[tell]
+        order = np.argsort(pack, kind="stable")
+        keys, pack = keys[order], pack[order]
+        edges = np.append(_starts(pack), len(pack))
+        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            told, counts = np.unique(keys[x:y], return_counts=True)
+            replies.append((int(pack[x]), told.tobytes(), counts.astype(np.int32).tobytes(), None))
     give_back()
-    return pa.concat_tables(out) if out else _COUNTS.empty_table()
+    return pa.table([pa.array(list(col), f.type) for col, f in zip(zip(*replies), _REPLY)], schema=_REPLY) if replies else _REPLY.empty_table()
+
+
+def _enough(table: pa.Table) -> pa.Table:
+    """The keys of one pack's sets that have as many shared lists as they need."""
+    a, b, c = (table.column(n).to_pylist() for n in ("a", "b", "c"))
+    own = next(i for i, x in enumerate(c) if x is not None)
+    mine, need = np.frombuffer(a[own], np.int64), np.frombuffer(c[own], np.int32)
+    order = np.argsort(mine)
+    keys, counts = np.concatenate([np.frombuffer(x, np.int64) for x in a]), np.concatenate([np.frombuffer(x, np.int32) for x in b])
+    total = np.bincount(np.searchsorted(mine[order], keys), weights=counts, minlength=len(mine))
+    return pa.table({"k1": mine[order][total >= need[order]]})
 
 
 def _screened(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
@@ -172,9 +185,8 @@ def _screened(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
             yield from flush()
 
     packs = docs.where(F.col("doc_id").cast("long").isNotNull()).select("text").mapInArrow(run, "bucket int, pack long, postings boolean, a binary, b binary, c binary")
-    counts = packs.groupBy("bucket").applyInArrow(_counted, "k1 long, pack long, count int, need int")
-    sums = counts.groupBy("k1", "pack").agg(F.sum("count").alias("count"), F.max("need").alias("need"))
-    return sums.where("count >= need").select("k1").distinct()
+    replies = packs.groupBy("bucket").applyInArrow(_counted, "pack long, a binary, b binary, c binary")
+    return replies.groupBy("pack").applyInArrow(_enough, "k1 long").distinct()
 
 
 def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -283,28 +295,32 @@ def _regrouped(lists: DataFrame, links: DataFrame) -> DataFrame:
 def divide_skip(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All links (a, b) between sets of different groups, from the rows (s, x, n, g, m) of the inverted lists.
 
-    Sets ask for partners of at least their own size (of equal ones, for those
-    of greater number), which share at least T = ceil(2s / (1 + s) * n).
+    Lists hold groups. Of two groups the sets of the smaller one (of equal
+    ones, of that of lesser number) ask for the other, with which they share at
+    least T = ceil(s * n). Members of the groups that the merge of the short
+    lists leaves are probed for the set's shingles, rarest first.
     """
-    lengths = lists.groupBy("s").count()
-    ordered = lists.join(lengths, "s").groupBy("x", "n", "g", "m").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("ls"))
-    t = F.ceil(2 * F.col("n") * percent / (100 + percent)).cast("int")
+    members = cut(lists.groupBy("x").agg(F.first("n").alias("nb"), F.first("g").alias("gb"), F.first("m").alias("mb")).withColumnRenamed("x", "b"), "join-members")
+    sizes = members.groupBy(F.col("gb").alias("g")).agg(F.count(F.lit(1)).alias("k"))
+    lists = lists.join(sizes, "g")
+    index = lists.groupBy("s", "g", "k").agg(F.min("n").alias("nb"), F.max("m").alias("mb")).select("s", F.col("g").alias("gb"), F.col("k").alias("kb"), "nb", "mb")
+    lengths = index.groupBy("s").count()
+    ordered = lists.join(lengths, "s").groupBy("x", "n", "g", "k", "m").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("ls"))
+    t = _least_shared(F.col("n"), percent).cast("int")
     aside = F.floor(F.col("t") / (LONG_COST * F.log2(F.element_at("ls", -1)["count"]) + 1)).cast("int")
-    asking = ordered.withColumn("t", t).where(F.size("ls") >= F.col("t")).withColumn("aside", F.greatest(F.lit(0), F.least(F.col("t") - 1, aside))).withColumn("merge", F.size("ls") - F.col("aside"))
-    asking = cut(
-        asking.select("x", "n", "g", "m", (F.col("t") - F.col("aside")).alias("least"), F.slice("ls", F.lit(1), F.col("merge"))["s"].alias("short"), F.slice("ls", F.col("merge") + 1, F.col("aside"))["s"].alias("long")),
-        "join-asking",
-    )
-    query = asking.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("m").alias("ma"), "least", F.explode("short").alias("s"))
-    index = lists.select("s", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), F.col("m").alias("mb"))
-    larger = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    met = query.join(index, "s").where(larger & _open_pair(percent))
-    merged = met.groupBy("a", "b", "na", "nb", "least").count().where(F.col("count") >= F.col("least"))
-    candidates = cut(merged.select("a", "b", F.col("count").cast("int").alias("found"), _needed(F.col("na"), F.col("nb"), percent).alias("need")), "join-candidates")
-    long = asking.select(F.col("x").alias("a"), F.array_sort("long").alias("wanted"))
+    asking = ordered.withColumn("t", t).withColumn("aside", F.greatest(F.lit(0), F.least(F.col("t") - 1, aside)))
+    asking = cut(asking.select("x", "n", "g", "k", "m", (F.col("t") - F.col("aside")).alias("least"), (F.size("ls") - F.col("aside")).alias("merge"), F.col("ls")["s"].alias("wanted")), "join-asking")
+    query = asking.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), F.col("k").alias("ka"), F.col("m").alias("ma"), "least", F.explode(F.slice("wanted", F.lit(1), F.col("merge"))).alias("s"))
+    smaller = (F.col("ka") < F.col("kb")) | ((F.col("ka") == F.col("kb")) & (F.col("ga") < F.col("gb")))
+    # The least size and the most open lists of the group's members stand for those of a partner.
+    met = query.join(index, "s").where(smaller & _open_pair(percent))
+    merged = cut(met.groupBy("a", "na", "ga", "ma", "gb", "least").count().where(F.col("count") >= F.col("least")).drop("count", "least"), "join-merged")
+    pairs = merged.join(members, "gb").where(_open_pair(percent))
+    candidates = cut(pairs.select("a", "b", F.lit(0).alias("found"), _needed(F.col("na"), F.col("nb"), percent).alias("need")), "join-candidates")
+    wanted = asking.select(F.col("x").alias("a"), "wanted")
     held = sets.select(F.col("x").alias("b"), F.col("shingles").alias("held"))
-    links = cut(_probe(candidates.join(long, "a").join(held, "b")), "join-links")
-    discard(asking, candidates)
+    links = cut(_probe(candidates.join(wanted, "a").join(held, "b")), "join-links")
+    discard(asking, merged, candidates, members)
     return links
 
 
