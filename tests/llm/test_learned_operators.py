@@ -151,6 +151,11 @@ def test_toxicity_is_learned_without_held_out_labels(spark):
     assert all(abs(again[i] - r.score) < 1e-9 for i, r in got.items())
 
 
+def test_operating_point_parts_no_ties():
+    assert pu_toxicity.operating_point([-5.0, -5.0], [-5.0], 0.5) > -5
+    assert pu_toxicity.operating_point([2.0, 1.0, -5.0], [-5.0, -5.0], 0.3) == -2.0
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in pu_toxicity.score_table(data.frame(spark, [(1, "a b")]), none).collect()} == {0}

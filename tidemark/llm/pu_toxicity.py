@@ -112,18 +112,20 @@ def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 200, rate:
 def operating_point(toxic: list[float], clean: list[float], prior: float) -> float:
     """The margin of the best F1 over labelled rows of the learning part, in the middle of its gap.
 
-    The samples of both classes are weighed as the classes stand in all labelled rows.
+    The samples of both classes are weighed as the classes stand in all labelled
+    rows. Equal margins are never parted, nor are all rows called toxic: where a
+    model tells nothing apart, nothing is toxic.
     """
     if not toxic or not clean:
         return 0.0
     ranked = sorted([(z, prior / len(toxic), 1) for z in toxic] + [(z, (1 - prior) / len(clean), 0) for z in clean], reverse=True)
-    called, hits, best, at = 0.0, 0.0, -1.0, 0.0
+    called, hits, best, at = 0.0, 0.0, -1.0, ranked[0][0] + 1
     for i, (z, weight, y) in enumerate(ranked):
         called += weight
         hits += weight * y
         f1 = 2 * hits / (called + prior)
-        if f1 > best:
-            best, at = f1, (z + ranked[i + 1][0]) / 2 if i + 1 < len(ranked) else z
+        if f1 > best and i + 1 < len(ranked) and ranked[i + 1][0] < z:
+            best, at = f1, (z + ranked[i + 1][0]) / 2
     return at
 
 
