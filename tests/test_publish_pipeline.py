@@ -29,18 +29,18 @@ def test_only_touched_years_are_rewritten(spark, tmp_path):
 
 def test_manifest_notes_and_integrity(spark, tmp_path):
     now = datetime.datetime(2024, 1, 2, 3, 4, 5, tzinfo=datetime.timezone.utc)
-    shards = P.merge_coverage({"a": {"rows": 1}, "b": {"rows": 2}}, {"b": {"rows": 3, "date_min": "2024-01-01", "date_max": None}})
-    m = P.manifest(now, "live", ["main"], ["b"], shards, {"packages": 2, "latest_date": None})
+    years = P.merge_coverage({"2023": {"rows": 1}, "2024": {"rows": 2}}, {"2024": {"rows": 3, "first_day": "2024-01-01", "last_day": None}})
+    m = P.manifest(now, "live", ["main"], ["2024"], years, {"items": 2, "anchor": None})
     file = tmp_path / "x.bin"
     file.write_bytes(b"abc" * 1000)
     core = P.integrity(str(file), {"t": spark.range(3)}, True)
-    assert core["db_sha256"] == hashlib.sha256(b"abc" * 1000).hexdigest() and core["tables"] == {"t": 3} and isinstance(core["db_bytes"], float)
+    assert core["file"] == {"name": "x.bin", "bytes": 3000, "sha256": hashlib.sha256(b"abc" * 1000).hexdigest()} and core["rows_by_table"] == {"t": 3}
     P.write_manifest(spark, str(tmp_path), m, core)
     back = P.read_manifest(spark, str(tmp_path))
-    assert back["tag"] == "v20240102-030405" and back["complete"] is True and back["shards"]["a"] == {"rows": 1}
+    assert back["run"]["name"] == "v20240102-030405" and back["complete"] is True and back["daily"]["2023"] == {"rows": 1}
     text = P.notes(m)
-    assert "2024-01-02 03:04:05 UTC" in text and "n/a" in text and text.index("| a |") < text.index("| b |") and "Changed: b" in text
-    assert "none" in P.notes({**m, "changed_shards": []}) and P.read_manifest(spark, str(tmp_path / "no")) is None
+    assert "2024-01-02 03:04:05 UTC" in text and "n/a" in text and text.index("| 2023 |") < text.index("| 2024 |") and "touched: 2024" in text
+    assert "none" in P.notes({**m, "touched": []}) and P.read_manifest(spark, str(tmp_path / "no")) is None
 
 
 def test_sqlite_export(spark, tmp_path):
@@ -83,13 +83,15 @@ CHANNELS, FLOORS = [Channel("main", "x")], Floors(1, 1)
 
 
 def table(spark, folder, name):
-    return spark.read.parquet(os.path.join(folder, P.read_manifest(spark, folder)["snapshot"], name))
+    store = L.Store(spark, folder)
+    assert store.damaged() == []
+    return store.read_years(name, schemas.DAILY) if name == "daily" else spark.read.parquet(store.path(name))
 
 
 def test_cold_run_then_revision_then_heartbeat(spark, tmp_path):
     folder, src = str(tmp_path), Source(spark)
     m = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
-    assert m["summary"]["packages"] == 2 and m["summary"]["latest_date"] == "2024-06-01" and m["changed_shards"] == ["daily-2023", "daily-2024"]
+    assert m["totals"]["items"] == 2 and m["totals"]["anchor"] == "2024-06-01" and m["touched"] == ["2023", "2024"]
     assert {(r.item, r.day, r.n) for r in table(spark, folder, "daily").collect()} == {("abc", D(2024, 6, 1), 12), ("b", D(2023, 5, 1), 2)}
     # A late revision of one release leaves the other's counts alone; a release that fails keeps what it had.
     src.counted, src.broken = [("main", "r-cran-abc", "1", D(2024, 6, 1), 6)], [("r-cran-abc", "2")]
@@ -97,13 +99,38 @@ def test_cold_run_then_revision_then_heartbeat(spark, tmp_path):
     m = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
     assert src.asked[-1] == {("r-cran-abc", "1", D(2024, 3, 3)), ("r-cran-abc", "2", D(2024, 3, 3))}
     assert {(r.item, r.n) for r in table(spark, folder, "daily").collect()} == {("abc", 13), ("b", 2)}
-    assert m["changed_shards"] == ["daily-2024"]
+    assert m["touched"] == ["2024"]
     # Nothing new: only the check moves on.
     src.counted, src.broken = [], []
     src.counted = [("main", "r-cran-abc", "1", D(2020, 1, 1), 6)]
     src.time += datetime.timedelta(days=1)
     h = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
-    assert h["source_kind"] == "frozen" and h["changed_shards"] == [] and h["last_changed"] == m["last_changed"] and h["snapshot"] == m["snapshot"]
+    assert h["run"]["mode"] == "unchanged" and h["touched"] == [] and h["run"]["data_from"] == m["run"]["data_from"] and h["snapshot"] == m["snapshot"]
+
+
+def test_a_refresh_leaves_untouched_years_alone_and_tells_of_damage(spark, tmp_path):
+    folder, src = str(tmp_path), Source(spark)
+    first = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
+    src.counted = [("main", "r-cran-abc", "1", D(2024, 6, 2), 4)]
+    src.time += datetime.timedelta(days=1)
+    m = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
+    for kind in ("facts", "daily"):
+        assert m[kind]["2023"] == first[kind]["2023"] and m[kind]["2024"]["snapshot"] == m["snapshot"]
+    assert not os.path.exists(tmp_path / m["snapshot"] / "daily" / "year=2023")
+    assert {(r.artifact, r.release, r.n_total) for r in table(spark, folder, "releases").collect()} == {("r-cran-abc", "1", 9), ("r-cran-abc", "2", 7), ("r-bioc-b", "1", 2)}
+    assert {(r.item, r.n_total) for r in table(spark, folder, "summary").collect()} == {("abc", 16), ("b", 2)}
+    # A namespace that is preferred appears: the counts of the other one drop out of all years.
+    src.listed, src.counted = [("main", 9, "r-cran-b", "1", "amd64")], [("main", "r-cran-b", "1", D(2024, 6, 3), 1)]
+    src.time += datetime.timedelta(days=1)
+    roster = L.Store(spark, folder).read("releases", schemas.RELEASES)
+    identity = L.known_identity(roster).withColumn("item", F.when(F.col("artifact") != "r-bioc-b", F.col("item"))).where("item is not null")
+    assert L.moved_years(L.Store(spark, folder), L.known_identity(roster), identity, {2024}) == {2023}
+    file = next((tmp_path / first["snapshot"] / "daily" / "year=2023").glob("*.parquet"))
+    spark.createDataFrame([("b", D(2023, 5, 1), 3)], schemas.DAILY).coalesce(1).write.parquet(str(tmp_path / "other"))
+    file.write_bytes(next((tmp_path / "other").glob("*.parquet")).read_bytes())
+    for crc in file.parent.glob(".*.crc"):
+        crc.unlink()
+    assert L.Store(spark, folder).damaged() == ["daily 2023"]
 
 
 def test_runs_without_ledgers(spark, tmp_path):
@@ -115,7 +142,7 @@ def test_runs_without_ledgers(spark, tmp_path):
     src.ledger = True
     src.time += datetime.timedelta(days=1)
     m = L.refresh(spark, src.io(), str(tmp_path), CHANNELS, reclassify=True, floors=FLOORS)
-    assert m["source_kind"] == "reclassify" and m["changed_shards"] == []
+    assert m["run"]["mode"] == "reclassify" and m["touched"] == []
     assert {(r.item, r.display_name) for r in table(spark, str(tmp_path), "summary").collect()} == {("abc", "ABC"), ("b", "B")}
 
 
@@ -123,7 +150,7 @@ def test_history_is_protected_and_cold_runs_must_find_something(spark, tmp_path)
     src = Source(spark)
     L.refresh(spark, src.io(), str(tmp_path), CHANNELS, floors=FLOORS)
     snapshot = P.read_manifest(spark, str(tmp_path))["snapshot"]
-    os.rename(tmp_path / snapshot / "facts", tmp_path / "gone")
+    os.rename(tmp_path / snapshot / "facts" / "year=2023", tmp_path / "gone")
     with pytest.raises(L.RunAborted, match="facts"):
         L.refresh(spark, src.io(), str(tmp_path), CHANNELS, floors=FLOORS)
     src.listed = src.listed[3:]
@@ -138,7 +165,7 @@ def test_backfill_is_complete_or_nothing(spark, tmp_path):
         L.backfill(spark, src.io(), str(tmp_path / "a"), CHANNELS, FLOORS)
     assert P.read_manifest(spark, str(tmp_path / "a")) is None
     m = L.backfill(spark, src.io(), str(tmp_path / "b"), CHANNELS, FLOORS, require_complete=False)
-    assert m["summary"]["packages"] == 1
+    assert m["totals"]["items"] == 1
     assert {(r.artifact, r.release, r.done, r.n_total) for r in table(spark, str(tmp_path / "b"), "releases").collect()} == {("r-cran-abc", "1", True, 5), ("r-cran-abc", "2", True, 7), ("r-bioc-b", "1", False, None)}
 
 
@@ -151,7 +178,7 @@ def test_a_backfill_goes_on_where_it_stopped(spark, tmp_path):
     src.broken, src.asked = [], []
     m = L.resumable_backfill(spark, src.io(), out, work, CHANNELS, FLOORS, waves=3)
     asked = set().union(*src.asked)
-    assert ("r-bioc-b", "1", None) in asked and len(asked) < 3 and m["summary"]["packages"] == 2
+    assert ("r-bioc-b", "1", None) in asked and len(asked) < 3 and m["totals"]["items"] == 2
     assert {(r.item, r.n) for r in table(spark, out, "daily").collect()} == {("abc", 12), ("b", 2)}
     assert all(r.done for r in table(spark, out, "releases").collect())
 

@@ -33,10 +33,6 @@ def sum_partials(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy("item", "day").agg(F.sum("n").cast("long").alias("n"))
 
 
-def _first_by(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_at", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_at = 1").drop("_at")
-
-
 def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     """The rows of both; where both have a key, that of ``new``."""
     fresh = new.select("item", "day", "n")
@@ -46,8 +42,17 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def keep_first(*sources: DataFrame) -> DataFrame:
     """One row for each key, from the first source that has it (within a source, the larger count)."""
-    ranked = [s.select("item", "day", "n").withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
-    return _first_by(reduce(DataFrame.unionByName, ranked), ["item", "day"], [F.col("_source"), F.desc("n")]).drop("_source")
+    ranked = [s.select("item", "day", "n", F.lit(i).alias("source")) for i, s in enumerate(sources)]
+    return keep_least_source(reduce(DataFrame.unionByName, ranked))
+
+
+def keep_least_source(tagged: DataFrame) -> DataFrame:
+    """``keep_first`` for one table of all sources, where ``source`` orders them; combined before the shuffle.
+
+    A null count comes after all counts of its source.
+    """
+    order = F.struct("source", F.col("n").isNull().alias("none"), (-F.col("n")).alias("less"))
+    return tagged.groupBy("item", "day").agg(F.min_by("n", order).alias("n"))
 
 
 def year_extract(daily: DataFrame, year: int) -> DataFrame:

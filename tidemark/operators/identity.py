@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import FLOORS, Floors
@@ -17,8 +17,8 @@ class LedgerGate(RuntimeError):
 def merge_ledgers(cran: DataFrame, bioc: DataFrame) -> DataFrame:
     """One row for each name of two ledgers; the first ledger wins."""
     both = cran.select("name_lower", "display_name", "lifecycle", F.lit(0).alias("_p")).unionByName(bioc.select("name_lower", "display_name", "lifecycle", F.lit(1).alias("_p")))
-    order = Window.partitionBy("name_lower").orderBy("_p", "display_name", "lifecycle")
-    return both.withColumn("_at", F.row_number().over(order)).where("_at = 1").select("name_lower", "display_name", "lifecycle")
+    first = both.groupBy("name_lower").agg(F.min(F.struct("_p", "display_name", "lifecycle")).alias("first"))
+    return first.select("name_lower", "first.display_name", "first.lifecycle")
 
 
 def ledger_sizes(cran: DataFrame, bioc: DataFrame, floors: Floors = FLOORS) -> DataFrame:
@@ -54,8 +54,9 @@ def look_up(routed: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def prefer(found: DataFrame) -> DataFrame:
     """One artifact for each item: that of the preferred namespace, then the first by name."""
-    order = Window.partitionBy("item").orderBy(preference("namespace"), "artifact")
-    return found.withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at")
+    rest = [c for c in found.columns if c != "item"]
+    best = found.groupBy("item").agg(F.min_by(F.struct(*rest), F.struct(preference("namespace").alias("rank"), "artifact")).alias("best"))
+    return best.select(*(F.col(c) if c == "item" else F.col("best")[c].alias(c) for c in found.columns))
 
 
 def resolve(artifacts: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import PREFERRED_ARCH, WINDOWS
@@ -14,8 +14,10 @@ KEY = ["channel", "artifact", "release"]
 
 def dedup(entries: DataFrame) -> DataFrame:
     """One entry for each release: of the preferred architecture if there is one, then the least source id."""
-    order = Window.partitionBy(*KEY).orderBy(F.when(F.col("arch") == PREFERRED_ARCH, 0).otherwise(1), F.col("source_id").asc_nulls_last(), "arch")
-    return entries.withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at")
+    order = F.struct(F.coalesce(F.col("arch") != PREFERRED_ARCH, F.lit(True)).alias("other"), F.col("source_id").isNull().alias("none"), "source_id", "arch")
+    rest = [c for c in entries.columns if c not in KEY]
+    best = entries.groupBy(*KEY).agg(F.min_by(F.struct(*rest), order).alias("best"))
+    return best.select(*(F.col(c) if c in KEY else F.col("best")[c].alias(c) for c in entries.columns))
 
 
 def build_roster(entries: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -67,6 +69,14 @@ def fill_totals(roster: DataFrame, raw: DataFrame) -> DataFrame:
     return roster.join(totals, KEY, "left").withColumn("n_total", F.col("_n")).select(*roster.columns)
 
 
+def move_totals(roster: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Totals moved on by what some days' counts have changed; a release without a change keeps its total."""
+    signed = before.select(*KEY, (-F.col("n")).alias("n")).unionByName(after.select(*KEY, "n"))
+    moved = signed.groupBy(*KEY).agg(F.sum("n").cast("long").alias("_n"))
+    total = F.when(F.col("_n").isNull(), F.col("n_total")).otherwise(F.coalesce("n_total", F.lit(0)) + F.col("_n"))
+    return roster.join(moved, KEY, "left").withColumn("n_total", total).select(*roster.columns)
+
+
 def never_counted(roster: DataFrame) -> DataFrame:
     """Releases that were fetched without a row; they stay active."""
     return roster.where("done and last_day is null")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
@@ -16,6 +17,7 @@ from tidemark.operators import releases as R
 from tidemark.operators import summary as S
 from tidemark.plans import adapter as A
 from tidemark.schemas import RELEASES, SUMMARY, conform, empty
+from tidemark.sinks.publish import merge_coverage, year_coverage
 from tidemark.sources import pages as P
 from tidemark.sources import urls as U
 
@@ -79,10 +81,9 @@ def daily_counts(spark, sf):
 
 @query(f"WITH {A.RAW}, {_ITEM_DAYS} SELECT item, day, n FROM days")
 def daily_merge_partials(spark, sf):
-    """Four partial tables, by release, added up again."""
-    raw = A.item_counts(spark, sf)
-    part = F.col("p_partkey") % 4
-    return D.sum_partials(*(raw.where(part == i).groupBy("item", "day").agg(F.sum("n").cast("long").alias("n")) for i in range(4)))
+    """Four partial tables, by release, added up again; one scan makes all four."""
+    partial = A.item_counts(spark, sf).groupBy((F.col("p_partkey") % 4).alias("part"), "item", "day").agg(F.sum("n").cast("long").alias("n"))
+    return D.sum_partials(partial.select("item", "day", "n"))
 
 
 @query(f"WITH {A.RAW}, old AS (SELECT item, day, CAST(sum(n) AS BIGINT) AS n FROM counts WHERE day < DATE '2000-07-01' GROUP BY item, day), new AS (SELECT item, day, CAST(sum(n) AS BIGINT) + 1 AS n FROM counts WHERE day >= DATE '2000-01-01' GROUP BY item, day) SELECT item, day, n FROM new UNION ALL SELECT item, day, n FROM old ANTI JOIN new USING (item, day)")
@@ -95,8 +96,9 @@ def daily_upsert_new_wins(spark, sf):
 
 @query(f"WITH {A.RAW}, p AS (SELECT p_partkey % 4 AS s, item, day, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL) SELECT item, day, n FROM (SELECT *, row_number() OVER (PARTITION BY item, day ORDER BY s) AS pos FROM p) WHERE pos = 1")
 def daily_keep_first(spark, sf):
-    raw = A.item_counts(spark, sf)
-    return D.keep_first(*(raw.where(F.col("p_partkey") % 4 == i).groupBy("item", "day").agg(F.sum("n").cast("long").alias("n")) for i in range(4)))
+    """Four sources, tagged in one scan."""
+    tagged = A.item_counts(spark, sf).groupBy((F.col("p_partkey") % 4).alias("source"), "item", "day").agg(F.sum("n").cast("long").alias("n"))
+    return D.keep_least_source(tagged)
 
 
 @query(f"WITH {A.RAW}, {_ITEM_DAYS} SELECT item, day, n FROM days WHERE year(day) = 1998")
@@ -300,10 +302,10 @@ def release_totals(spark, sf):
     return R.fill_totals(_roster(spark, sf), A.raw_counts(spark, sf)).select(*R.KEY, "n_total")
 
 
-@query(f"WITH {A.RAW} SELECT item, CAST(sum(n) AS BIGINT) AS n FROM counts WHERE p_partkey % 4 = 1 GROUP BY item")
+@query(f"WITH {A.RAW} SELECT p_partkey % 4 AS shard, item, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL")
 def shard_item_totals(spark, sf):
-    """The totals of one shard's items."""
-    return A.item_counts(spark, sf).where("p_partkey % 4 = 1").groupBy("item").agg(F.sum("n").cast("long").alias("n"))
+    """The totals of every shard's items."""
+    return A.item_counts(spark, sf).groupBy((F.col("p_partkey") % 4).alias("shard"), "item").agg(F.sum("n").cast("long").alias("n"))
 
 
 # -- sets of names ----------------------------------------------------------
@@ -356,10 +358,14 @@ def distinct_counts(spark, sf):
     return A.table(spark, sf, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.count_if(F.col("value") > 50).alias("large"))
 
 
-@query("SELECT 'region' AS name, count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in _TABLES))
 def table_row_counts(spark, sf):
-    counts = [A.table(spark, sf, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows") for t in ("region", "nation", "part")]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """Rows of every table; Parquet answers from its footers."""
+    counts = [A.table(spark, sf, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows") for t in _TABLES]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # -- pages, names and times -------------------------------------------------
@@ -433,14 +439,53 @@ def shard_file_names(spark, sf):
     return A.table(spark, sf, "lineitem").select(X.shard_file("daily", F.year("l_shipdate")).alias("file")).distinct()
 
 
-@query("SELECT 1 AS k, 3 AS rows UNION ALL SELECT 2, 20 UNION ALL SELECT 3, 30")
+@query(f"""WITH {A.RAW}, old AS (SELECT year(day) AS year, count(*) AS rows, min(day) AS first_day, max(day) AS last_day FROM counts WHERE day < DATE '2000-07-01' GROUP BY 1),
+new AS (SELECT year(day) AS year, count(*) AS rows, min(day) AS first_day, max(day) AS last_day FROM counts WHERE day >= DATE '2000-01-01' GROUP BY 1)
+SELECT CAST(year AS INTEGER) AS year, rows, CAST(first_day AS VARCHAR) AS first_day, CAST(last_day AS VARCHAR) AS last_day FROM (SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (year))""")
 def coverage_overlay(spark, sf):
-    """A map with the entries of another over it."""
-    merged = F.map_concat(F.map_filter(F.create_map(F.lit(1), F.lit(3), F.lit(2), F.lit(4)), lambda k, _: ~F.array_contains(F.lit([2, 3]), k)), F.create_map(F.lit(2), F.lit(20), F.lit(3), F.lit(30)))
-    return A.table(spark, sf, "region").limit(1).select(F.explode(merged).alias("k", "rows"))
+    """The coverage of an earlier part of the counts, with that of a later part over it."""
+    counts = A.item_counts(spark, sf)
+    old, new = counts.where(F.col("day") < F.lit(datetime.date(2000, 7, 1))), counts.where(F.col("day") >= F.lit(SPLIT))
+    merged = merge_coverage(year_coverage(old), year_coverage(new))
+    rows = [(int(year), c["rows"], c["first_day"], c["last_day"]) for year, c in merged.items()]
+    return spark.createDataFrame(rows, "year int, rows long, first_day string, last_day string")
+
+
+# -- addresses, listing pages and runs --------------------------------------
+
+_API = "https://api.example.org"
+
+
+@query(f"SELECT p_partkey, '{_API}/' || replace(replace(p_name, ' ', '%20'), '+', '%2B') || '?ws.op=getPublishedBinaries&ordered=false&ws.size=300&ws.start=0&status=Published' AS url FROM part")
+def listing_urls(spark, sf):
+    return A.table(spark, sf, "part").select("p_partkey", U.listing_url(_API, F.col("p_name"), status="Published").alias("url"))
+
+
+@query(f"SELECT p_partkey, '{_API}/main?ws.op=getPublishedBinaries&ordered=false&exact_match=true&ws.size=300&binary_name=' || replace(replace(p_name, ' ', '%20'), '+', '%2B') AS url FROM part")
+def name_urls(spark, sf):
+    return A.table(spark, sf, "part").select("p_partkey", U.name_url(_API, F.lit("main"), F.col("p_name")).alias("url"))
+
+
+@query(f"WITH {A.PARTS}, {A.ENTRIES} SELECT channel, source_id, artifact, release, arch, 'Published' AS status, CAST(NULL AS VARCHAR) AS published FROM entries")
+def published_page_parse(spark, sf):
+    """Every listing entry as a page of one entry, written and parsed again."""
+    e = {"self_link": F.concat(F.lit("https://x/+binarypub/"), F.col("source_id")), "binary_package_name": F.col("artifact"), "binary_package_version": F.col("release"), "distro_arch_series_link": F.concat(F.lit("https://x/series/"), F.col("arch")), "status": F.col("status"), "date_published": F.col("published")}
+    text = F.to_json(F.struct(F.array(F.struct(*(c.alias(n) for n, c in e.items()))).alias("entries")))
+    return P.published_entries(A.entries(spark, sf).select("channel", text.alias("text")))
+
+
+@query(f"WITH {A.RAW}, {_ITEM_DAYS} SELECT item, day, n, row_number() OVER (ORDER BY item, day) AS place FROM days")
+def daily_sorted(spark, sf):
+    """The places of daily rows in the order in which they are published: by item and day, as UTF-8 bytes order."""
+    days = _item_days(spark, sf)
+    before = Window.orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
+    # One row an item.
+    starts = days.groupBy("item").agg(F.count(F.lit(1)).alias("rows")).select("item", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("item").orderBy("day"))
+    return days.withColumn("own", own).join(starts, "item").select("item", "day", "n", (F.col("start") + F.col("own")).alias("place"))
 
 
-@query(None)
+@query("SELECT '' AS item, '' AS item_lower, '' AS namespace, '' AS display_name, CAST(0 AS BIGINT) AS total_30d, CAST(0 AS BIGINT) AS total_90d, CAST(0 AS BIGINT) AS total_365d, CAST(0 AS BIGINT) AS rank_30d, CAST(0 AS BIGINT) AS rank_90d, CAST(0 AS BIGINT) AS rank_365d, CAST(0 AS DOUBLE) AS avg_daily_30d, CAST(0 AS DOUBLE) AS trend, DATE '2000-01-01' AS first_day, DATE '2000-01-01' AS last_day, CAST(0 AS BIGINT) AS n_total, '' AS lifecycle WHERE false")
 def empty_summary(spark, sf):
     """The typed summary without rows."""
     return empty(spark, SUMMARY)

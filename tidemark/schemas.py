@@ -43,8 +43,10 @@ class KeyViolation(ValueError):
 
 def require_key(df: DataFrame, *key: str) -> DataFrame:
     """``df`` itself, once its key is known to be unique and without nulls."""
-    missing = df.where(" or ".join(f"{k} is null" for k in key)).limit(1).count()
-    repeated = df.groupBy(*key).count().where("count > 1").limit(1).count()
-    if missing or repeated:
-        raise KeyViolation(f"{'null' if missing else 'repeated'} key ({', '.join(key)})")
+    missing = F.lit(False)
+    for k in key:
+        missing |= F.col(k).isNull()
+    bad = df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).select(missing.alias("missing"), "rows").where("missing or rows > 1").first()
+    if bad is not None:
+        raise KeyViolation(f"{'null' if bad['missing'] else 'repeated'} key ({', '.join(key)})")
     return df

@@ -9,7 +9,7 @@ import os
 import sqlite3
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.daily import coverage
@@ -27,22 +27,37 @@ def write_years(daily: DataFrame, path: str, only: Iterable[int] | None = None)
     rows = daily.withColumn("year", F.year("day"))
     if only is not None:
         rows = rows.where(F.col("year").isin(sorted(only)))
-    rows.repartition("year").sortWithinPartitions("item", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    # Rebalancing gives a year as many files as its bytes ask for, so no year is one task's work.
+    even = rows.hint("rebalance", "year").sortWithinPartitions("item", "day") if "item" in rows.columns else rows.hint("rebalance", "year")
+    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
-def write_table(df: DataFrame, path: str, *key: str) -> None:
-    """Write a whole table, once its key holds."""
-    require_key(df, *key).write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str, *key: str) -> DataFrame:
+    """Write a whole table and return it as read again, once the key of what was written holds."""
+    df.write.mode("overwrite").parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return require_key(written, *key) if key else written
 
 
 def touched_years(delta: DataFrame) -> list[int]:
     return [r[0] for r in delta.select(F.year("day")).where(F.year("day").isNotNull()).distinct().orderBy(F.year("day")).collect()]
 
 
+def _checksum(df: DataFrame) -> Column:
+    """Of rows in any order: the sum of their hashes, as decimal text."""
+    return F.coalesce(F.sum(F.xxhash64(*sorted(c for c in df.columns if c != "year")).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum")
+
+
+def table_marks(df: DataFrame) -> dict:
+    """Rows and checksum of a written table, by which a reader can tell that it is whole."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), _checksum(df)).first().asDict()
+
+
 def year_coverage(daily: DataFrame) -> dict[str, dict]:
-    """Coverage by shard name, as the manifest holds it; one entry for each year."""
-    rows = coverage(daily.withColumn("year", F.year("day")), "year").where("year is not null").collect()
-    return {f"daily-{r['year']:04d}": {"rows": r["rows"], "date_min": str(r["first_day"]), "date_max": str(r["last_day"])} for r in sorted(rows, key=lambda r: r["year"])}
+    """Rows, days and checksum by year, as the manifest holds them."""
+    dated = daily.withColumn("year", F.year("day")).where("year is not null")
+    rows = coverage(dated, "year").join(dated.groupBy("year").agg(_checksum(daily)), "year").collect()
+    return {f"{r['year']:04d}": {"rows": r["rows"], "first_day": str(r["first_day"]), "last_day": str(r["last_day"]), "checksum": r["checksum"]} for r in sorted(rows, key=lambda r: r["year"])}
 
 
 def merge_coverage(old: dict[str, dict], new: dict[str, dict]) -> dict[str, dict]:
@@ -59,23 +74,23 @@ def file_sha256(path: str) -> str:
 
 
 def integrity(path: str, tables: dict[str, DataFrame], complete: bool) -> dict:
-    """Name, bytes and digest of a published file, and the rows of its tables by name."""
-    return {"db_filename": os.path.basename(path), "db_bytes": float(os.path.getsize(path)), "db_sha256": file_sha256(path), "tables": {k: tables[k].count() for k in sorted(tables)}, "complete": complete}
+    """What an exported file is: its name, bytes and digest, the rows of its tables, and whether it has all of them."""
+    return {"file": {"name": os.path.basename(path), "bytes": os.path.getsize(path), "sha256": file_sha256(path)}, "rows_by_table": {k: tables[k].count() for k in sorted(tables)}, "complete": complete}
 
 
-def _iso(at: datetime.datetime) -> str:
+def iso(at: datetime.datetime) -> str:
     return at.astimezone(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def manifest(now: datetime.datetime, kind: str, channels: list[str], changed: list[str], shards: dict[str, dict], summary: dict, old: dict | None = None) -> dict:
-    """A manifest; one that changes nothing keeps the tag and time of the old one's change."""
-    old = old or {}
-    tag = now.astimezone(datetime.timezone.utc).strftime("v%Y%m%d-%H%M%S")
-    return {
-        "tag": tag if changed or not old else old.get("tag"),
-        "generated_at": _iso(now), "last_checked": _iso(now), "last_changed": _iso(now) if changed or not old else old.get("last_changed"),
-        "source_kind": kind, "archives": channels, "changed_shards": sorted(changed), "shards": shards, "summary": summary,
-    }
+def manifest(now: datetime.datetime, mode: str, channels: list[str], touched: list[str], years: dict[str, dict], totals: dict, old: dict | None = None) -> dict:
+    """A manifest: the run that made it, daily coverage by year, and totals.
+
+    A run that touches nothing keeps the name and time of the run that last did.
+    """
+    made = {"name": now.astimezone(datetime.timezone.utc).strftime("v%Y%m%d-%H%M%S"), "data_from": iso(now)}
+    if old and not touched:
+        made = {k: old["run"][k] for k in made}
+    return {"run": {**made, "mode": mode, "looked_at": iso(now)}, "channels": channels, "touched": sorted(touched), "daily": years, "totals": totals}
 
 
 def write_manifest(spark: SparkSession, folder: str, content: dict, core: dict | None = None) -> str:
@@ -97,16 +112,16 @@ def write_notes(spark: SparkSession, path: str, content: dict) -> None:
 def notes(content: dict) -> str:
     """The manifest for readers, as Markdown."""
 
-    def shown(key: str, value: object) -> str:
-        if value is None:
-            return "n/a"
-        return str(value).replace("T", " ").replace("Z", " UTC") if key.startswith("last_") else str(value)
+    def shown_time(value: str) -> str:
+        return value.replace("T", " ").replace("Z", " UTC")
 
-    head = [f"| {k.replace('_', ' ')} | {shown(k, content.get(k))} |" for k in ("tag", "last_checked", "last_changed", "source_kind")]
-    summary = [f"| {k.replace('_', ' ')} | {shown(k, v)} |" for k, v in (content.get("summary") or {}).items()]
-    changed = content.get("changed_shards") or []
-    shards = [f"| {name} | {s.get('rows', 'n/a')} | {s.get('date_min') or 'n/a'} | {s.get('date_max') or 'n/a'} |" for name, s in sorted((content.get("shards") or {}).items())]
-    return "\n".join(["| field | value |", "| --- | --- |", *head, *summary, "", "Changed: " + (", ".join(changed) if changed else "none (checked, nothing new)"), "", "| shard | rows | first | last |", "| --- | --- | --- | --- |", *shards, ""])
+    run, years = content["run"], content.get("daily") or {}
+    lines = [f"Run {run['name']} ({run['mode']}), data of {shown_time(run['data_from'])}, last looked at {shown_time(run['looked_at'])}.", ""]
+    lines += [f"- {name}: {'n/a' if value is None else value}" for name, value in (content.get("totals") or {}).items()]
+    lines += ["", "Years touched: " + (", ".join(content.get("touched") or []) or "none"), ""]
+    lines += ["| year | first day | last day | rows |", "| --- | --- | --- | --- |"]
+    lines += [f"| {y} | {c.get('first_day') or 'n/a'} | {c.get('last_day') or 'n/a'} | {c.get('rows', 'n/a')} |" for y, c in sorted(years.items())]
+    return "\n".join([*lines, ""])
 
 
 def export_sqlite(path: str, tables: dict[str, DataFrame], indexes: dict[str, str] | None = None) -> None:

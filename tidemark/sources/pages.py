@@ -59,4 +59,4 @@ def directory_names(pages: DataFrame) -> DataFrame:
 def control_names(texts: DataFrame, field: str = "Package") -> DataFrame:
     """Values of a field's lines in control-file texts (text), trimmed, in order of lines."""
     lines = texts.select(F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").startswith(f"{field}:")).select("line_no", F.trim(F.substring("line", len(field) + 2, 1 << 20)).alias("name"))
+    return lines.where(F.col("line").startswith(f"{field}:")).select("line_no", F.trim(F.substr("line", F.lit(len(field) + 2))).alias("name"))

@@ -11,13 +11,17 @@ from __future__ import annotations
 import json
 import time
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+PAGE_DDL = "first_url string, page_no int, text string, ok boolean"
+_PAGE = pa.schema([("first_url", pa.string()), ("page_no", pa.int32()), ("text", pa.string()), ("ok", pa.bool_())])
 #: A chain of more pages than this is taken for a loop.
 MAX_PAGES = 100_000
 
@@ -55,6 +59,33 @@ def chain(first: str, fetch: Callable[[str], str]) -> Iterator[tuple[str, int, s
     yield first, MAX_PAGES, None, False
 
 
+def chains(firsts: Iterable[str], fetch: Callable[[str], str], connections: int) -> Iterator[tuple[str, int, str | None, bool]]:
+    """Rows of many chains, followed side by side: a page of each is held at a time, and no chain as a whole."""
+    waiting = iter(firsts)
+    with ThreadPoolExecutor(connections) as pool:
+        open_ = [chain(u, fetch) for u in islice(waiting, connections)]
+        while open_:
+            pages = list(pool.map(lambda c: next(c, None), open_))
+            yield from (p for p in pages if p is not None)
+            open_ = [c for c, p in zip(open_, pages) if p is not None]
+            open_ += [chain(u, fetch) for u in islice(waiting, connections - len(open_))]
+
+
+def follow(addresses: DataFrame, connections: int = 4, tries: int = 9, wait: float = 5.0, fetch: Callable[[str], str] = get) -> DataFrame:
+    """The rows of ``paged_rest`` for the chains that begin at the distinct addresses (url).
+
+    Addresses stay distributed: each partition follows its own, so their number
+    is bounded by no driver. Repartition ``addresses`` for more requests at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        urls = (u for batch in batches for u in batch.column(0).to_pylist())
+        for row in chains(urls, lambda u: retried(lambda: fetch(u), tries, wait), connections):
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _PAGE)], schema=_PAGE)
+
+    return addresses.where("url is not null").select("url").distinct().mapInArrow(run, PAGE_DDL)
+
+
 class _Urls(InputPartition):
     def __init__(self, urls: list[str]):
         super().__init__(None)
@@ -74,10 +105,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _Urls) -> Iterator[tuple]:
         fetch = lambda url: retried(lambda: get(url), self.tries, self.wait)
-        with ThreadPoolExecutor(self.pool) as pool:
-            for start in range(0, len(partition.urls), self.pool):  # a wave at a time, so few pages are held
-                for pages in pool.map(lambda u: list(chain(u, fetch)), partition.urls[start : start + self.pool]):
-                    yield from pages
+        yield from chains(partition.urls, fetch, self.pool)
 
 
 class PagedRest(DataSource):
@@ -86,7 +114,7 @@ class PagedRest(DataSource):
         return "paged_rest"
 
     def schema(self) -> str:
-        return "first_url string, page_no int, text string, ok boolean"
+        return PAGE_DDL
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
