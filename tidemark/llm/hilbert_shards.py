@@ -13,8 +13,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, discard
 
 #: Bits of a dimension.
 BITS = 5
@@ -23,7 +24,7 @@ BITS = 5
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     """Positions on the curve of the given cells (n rows, one column a dimension).
 
-    The published transposition algorithm: undo the excess rotations from the
+    The transposition algorithm of J. Skilling (2004): undo the excess rotations from the
     highest bit down, Gray-encode, and interleave the bits.
     """
     x = cells.astype(np.int64).T.copy()
@@ -52,14 +53,37 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def text_rank(column: Column) -> Column:
-    """A string as a number that orders as its first seven UTF-8 bytes do; null is -1."""
-    padded = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(padded, 16, 10).cast("double"), F.lit(-1.0))
+#: Rows of a range partition of the order, at most about.
+PART_ROWS = 1_000_000
 
 
 def default_dimensions() -> dict[str, Column]:
-    return {"lang": text_rank(F.col("lang")), "source": text_rank(F.col("source")), "length": F.coalesce(F.octet_length("text"), F.lit(0)).cast("double")}
+    return {"lang": F.col("lang").cast("string"), "source": F.col("source").cast("string"), "length": F.coalesce(F.octet_length("text"), F.lit(0)).cast("double")}
+
+
+def text_edges(df: DataFrame, column: str, cells: int, n_parts: int) -> list[str]:
+    """Strings that part the rows into ``cells`` cells of about equal counts, each string taken as a whole.
+
+    Rows are counted by value first, so a frequent value is one row; values are
+    ordered by ranges, and only the edges come to the driver. Null values do
+    not count.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    ordered = cut(values.repartitionByRange(n_parts, "value").withColumn("part", F.spark_partition_id()), "hilbert-values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range partition.
+    offsets = ordered.groupBy("part").agg(F.sum("rows").alias("rows")).select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"), F.sum("rows").over(Window.partitionBy()).alias("total"))
+    upto = F.col("offset") + F.sum("rows").over(Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    counted = ordered.join(F.broadcast(offsets), "part").select("value", "total", upto.alias("upto"))
+    edges = counted.agg(*(F.min(F.when(F.col("upto") * cells >= F.col("total") * i, F.col("value"))).alias(f"e{i}") for i in range(1, cells))).first()
+    discard(ordered)
+    return sorted({e for e in edges if e is not None}, key=lambda e: e.encode())
+
+
+def _edges_below(value: Column, edges: list[str]) -> Column:
+    """How many of the edges are less than a string; none for null."""
+    known = F.array(*(F.lit(e) for e in edges)).cast("array<string>")
+    return F.size(F.filter(known, lambda e: e < value))
 
 
 def shards(docs: DataFrame, n_shards: int = 40, dimensions: dict[str, Column] | None = None, bits: int = BITS) -> DataFrame:
@@ -70,7 +94,9 @@ def shards(docs: DataFrame, n_shards: int = 40, dimensions: dict[str, Column] |
     grown_shard (null under this law) and hilbert (position on the curve).
     Ties on the curve are ordered by text checksum, then doc_id, then the rest
     of the row, so equal texts of equal metadata stand together; repeated rows
-    each get a slot. Null metadata sort first. An empty table gives no rows.
+    each get a slot. Null metadata are in the first cell. Dimensions are strings,
+    quantised as whole strings in the order of their UTF-8 bytes, or numbers. An
+    empty table gives no rows.
     """
     dimensions = dimensions or default_dimensions()
     names = [f"_d{i}" for i in range(len(dimensions))]
@@ -79,23 +105,33 @@ def shards(docs: DataFrame, n_shards: int = 40, dimensions: dict[str, Column] |
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
+        # Parts rows that are equal in all else, so that ranges can split them; it is fixed once written.
+        F.monotonically_increasing_id().alias("tie"),
         *(d.alias(n) for n, d in zip(names, dimensions.values())),
     )
     narrow = cut(narrow, "hilbert-rows")
 
-    # Bounded: one row of 2**bits - 1 edges for each dimension.
+    texts = [n for n in names if narrow.schema[n].dataType == T.StringType()]
+    numbers = [n for n in names if n not in texts]
+    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-narrow.count() // PART_ROWS))
+    # Bounded: 2**bits - 1 edges for each dimension.
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    edges = narrow.agg(*(F.percentile_approx(n, steps, 10_000).alias(n) for n in names)).first()
-    bounds = [np.asarray(edges[n] or [], dtype=float) for n in names]
+    found = narrow.agg(F.lit(0), *(F.percentile_approx(n, steps, 10_000).alias(n) for n in numbers)).first()
+    bounds = {n: np.unique(np.asarray(found[n] or [], dtype=float)) for n in numbers}
+    cells = []
+    for n in names:
+        if n in texts:
+            cells.append(_edges_below(F.col(n), text_edges(narrow, n, 1 << bits, n_parts)).alias(n))
+        else:
+            cells.append(F.col(n))
 
     @F.pandas_udf("long")
     def index(frame: pd.DataFrame) -> pd.Series:
-        cells = np.stack([np.searchsorted(np.unique(b), frame[n], side="left") for n, b in zip(names, bounds)], axis=1)
-        return pd.Series(hilbert_index(cells, bits))
+        own = [np.searchsorted(bounds[n], frame[n], side="left") if n in bounds else frame[n].to_numpy() for n in names]
+        return pd.Series(hilbert_index(np.stack(own, axis=1), bits))
 
-    order = ["hilbert", "text_crc32", "doc_id", "size"]
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = narrow.withColumn("hilbert", index(F.struct(*names))).select("doc_id", "size", "text_crc32", "hilbert")
+    order = ["hilbert", "text_crc32", "doc_id", "size", "tie"]
+    placed = narrow.select("doc_id", "size", "text_crc32", "tie", index(F.struct(*cells)).alias("hilbert"))
     # Position within the partition; the partition number stands in the upper bits.
     ordered = cut(placed.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "hilbert-order")
     part, low = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
