@@ -249,6 +249,67 @@ def test_codes_give_random_access(ids):
         seg[len(ids)]
 
 
+def test_one_id_is_read_from_a_file_by_few_bytes():
+    import io
+
+    ids = np.random.default_rng(3).choice([5, 300, 70_000, 2**24 + 9], 200_000).astype(np.uint32)
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.taken += len(out)
+            return out
+
+    file = Counted(dac_codes.pack(ids))
+    for i in (0, 1, 511, 512, 99_999, 199_999):
+        file.taken = 0
+        assert dac_codes.token_in_file(file, i) == ids[i] and file.taken < 500
+    with pytest.raises(IndexError):
+        dac_codes.token_in_file(file, len(ids))
+
+
+def test_other_tokenizer_files_get_whole_texts(tmp_path):
+    import json
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        settings = json.load(f)
+    assert dac_codes.piecewise(settings)
+    settings["normalizer"]["normalizers"].pop()
+    other = tmp_path / "cased.json"
+    other.write_text(json.dumps(settings))
+    memo = dac_codes.PieceMemo(str(other))
+    text = "Abc DEF, x1 " * 3
+    assert not memo.piecewise and np.frombuffer(memo.text(text), "<u4").tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_tokens_at_positions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dac_codes, "SEGMENT_TOKENS", 50)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [f"word{i} " * (i % 17) for i in range(60)] + ["long text " * 200, None, ""]
+    dac_codes.write_tokens(data.frame(spark, list(enumerate(texts))), str(tmp_path / "t"), path, 2)
+    rows = sorted(spark.read.parquet(str(tmp_path / "t")).collect(), key=lambda r: (r.part, r.seg))
+    every = np.concatenate([dac_codes.Segment(r.payload).all() for r in rows])
+    asked = spark.createDataFrame([(p,) for p in [*range(0, len(every), 7), len(every) - 1, len(every), -1, 7]], "position long")
+    got = {r.position: r.id for r in dac_codes.tokens_at(spark, str(tmp_path / "t"), asked).collect()}
+    assert got == {p: every[p] for p in {*range(0, len(every), 7), len(every) - 1}}
+
+
+def test_sources_with_a_common_beginning_have_cells_of_their_own(spark):
+    rows = [(i, f"text {i}", "en", f"https://site-{i % 4}.org") for i in range(80)] + [(100, "x", None, None)]
+    got = hilbert_shards.shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 4, {"source": F.col("source")}).collect()
+    place = {}
+    for r in got:
+        if r.doc_id < 100:
+            place.setdefault(r.doc_id % 4, set()).add(r.hilbert)
+    assert all(len(p) == 1 for p in place.values()) and len(set.union(*place.values())) == 4
+    # Copies of one row, alike in every column, still get slots without gaps.
+    same = spark.createDataFrame([(1, "a", "en", "s")] * 50, "doc_id long, text string, lang string, source string")
+    assert sorted((r.shard, r.slot) for r in hilbert_shards.shards(same, 5).collect()) == [(s, k) for s in range(5) for k in range(10)]
+
+
 def test_token_table_equals_the_library(spark, monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)

@@ -13,11 +13,13 @@ committed by task and work on any store that Spark reaches.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +109,47 @@ class Segment:
         return out
 
 
+def token_in_file(file: BinaryIO, i: int) -> int:
+    """The i-th id of a segment in a seekable file, by a few short reads: the heads, and for each chunk its byte and one block of its bitmap."""
+
+    def read(at: int, size: int) -> bytes:
+        file.seek(at)
+        return file.read(size)
+
+    magic, n_levels, n = _HEAD.unpack(read(0, _HEAD.size))
+    if magic != MAGIC:
+        raise ValueError("not a segment of directly addressable codes")
+    if not 0 <= i < n:
+        raise IndexError(i)
+    value, at = 0, _HEAD.size
+    for k in range(n_levels):
+        chunks, bitmap, directory = _LEVEL.unpack(read(at, _LEVEL.size))
+        at += _LEVEL.size
+        value |= read(at + i, 1)[0] << (CHUNK_BITS * k)
+        block, within = divmod(i, RANK_BLOCK)
+        byte, bit = divmod(within, 8)
+        bits = read(at + chunks + block * (RANK_BLOCK // 8), byte + 1)
+        if not bits[byte] >> bit & 1:
+            break
+        (first,) = struct.unpack("<Q", read(at + chunks + bitmap + 8 * block, 8))
+        i = first + int.from_bytes(bits[:byte], "little").bit_count() + (bits[byte] & ((1 << bit) - 1)).bit_count()
+        at += chunks + bitmap + directory
+    return value
+
+
+# The steps of a tokenizer file under which texts may be encoded piece by piece.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def piecewise(settings: dict) -> bool:
+    """Whether a tokenizer file has just the steps that ``PieceMemo`` relies on."""
+    steps = settings.get("pre_tokenizer") or {}
+    blank = any(c.isspace() or t["lstrip"] or t["rstrip"] or t["normalized"] for t in settings.get("added_tokens", []) for c in t["content"])
+    return settings.get("normalizer") == _NORMALIZER and steps.get("pretokenizers") == [_SPLIT, _BYTES] and not blank and not any(settings.get(k) for k in ("post_processor", "truncation", "padding"))
+
+
 class PieceMemo(dict):
     """Ids (little-endian bytes) of a blank-separated piece, encoded on first sight.
 
@@ -115,12 +158,15 @@ class PieceMemo(dict):
     marks after them, so such a piece has the ids of its word and its marks. A
     word of Latin letters goes to the tokenizer's model as it stands after the
     steps before it: lower case, bytes written as the byte-level alphabet.
+    Texts go whole to a tokenizer whose file has other steps than these.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        with open(tokenizer_path, encoding="utf-8") as f:
+            self.piecewise = piecewise(json.load(f))
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
         # The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from U+0100 on.
@@ -143,6 +189,8 @@ class PieceMemo(dict):
         return ids
 
     def text(self, text: str) -> bytes:
+        if not self.piecewise:
+            return self.whole(text)
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
     def __missing__(self, piece: str) -> bytes:
@@ -212,23 +260,54 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
         .repartitionByRange(n, "doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
         .mapInArrow(encode, _SEGMENTS_DDL)
-        .write.parquet(path)
+        .write.option("compression", "uncompressed")  # a page of codes is read as it is
+        .parquet(path)
     )
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of a written folder: doc_id, start, n_tokens, ids_crc32.
+def _starts(segments: DataFrame) -> DataFrame:
+    """part, seg, n_tokens and seg_start (ids before it) of every segment.
 
-    Starts come from running sums over segments within each part, and over the
-    parts (one row for each task of the write).
+    Running sums over segments within each part, and over the parts (one row
+    for each task of the write).
     """
-    segments = spark.read.parquet(path)
     sizes = segments.select("part", "seg", "n_tokens")
     parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     part_start = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
     within = Window.partitionBy("part").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "seg", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("seg_start")).join(part_start, "part").select("part", "seg", (F.col("part_start") + F.col("seg_start")).alias("seg_start"))
+    own = F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
+    return sizes.withColumn("own", own).join(part_start, "part").select("part", "seg", "n_tokens", (F.col("part_start") + F.col("own")).alias("seg_start"))
+
+
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """position and id of each distinct position (long) in the whole written order; positions beyond it have no row.
+
+    A position meets its segment by the stretch of ``SEGMENT_TOKENS`` that it
+    lies in, and its id is read without decoding others.
+    """
+    segments = spark.read.parquet(path)
+    stretch = lambda c: F.floor(c / SEGMENT_TOKENS).cast("long")
+    spans = _starts(segments).where("n_tokens > 0").withColumn("stretch", F.explode(F.sequence(stretch(F.col("seg_start")), stretch(F.col("seg_start") + F.col("n_tokens") - 1))))
+    asked = positions.select("position").where("position >= 0").distinct().withColumn("stretch", stretch(F.col("position")))
+    inside = (F.col("position") >= F.col("seg_start")) & (F.col("position") < F.col("seg_start") + F.col("n_tokens"))
+    found = asked.join(spans, "stretch").where(inside).groupBy("part", "seg", "seg_start").agg(F.collect_list("position").alias("positions"))
+    schema = pa.schema([("position", pa.int64()), ("id", pa.int64())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                start, wanted, payload = (batch.column(i)[row].as_py() for i in range(3))
+                segment = Segment(payload)
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array([segment[p - start] for p in wanted], pa.int64())], schema=schema)
+
+    return segments.join(found, ["part", "seg"]).select("seg_start", "positions", "payload").mapInArrow(look, "position long, id long")
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """Per document of a written folder: doc_id, start, n_tokens, ids_crc32."""
+    segments = spark.read.parquet(path)
+    starts = _starts(segments).drop("n_tokens")
     schema = pa.schema([("part", pa.int64()), ("seg", pa.int64()), ("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
