@@ -96,6 +96,32 @@ def test_rest_source_reads_whole_chains_and_reports_broken_ones(spark, server):
     assert [r.first_url for r in failed.collect()] == [f"{server}/bad"]
 
 
+def test_chains_follow_from_a_table_of_addresses(spark, server):
+    addresses = spark.createDataFrame([(f"{server}/a",), (f"{server}/a",), (f"{server}/bad",), (None,)], "url string")
+    got = sorted((r.first_url.rsplit("/", 1)[1], r.page_no, r.ok) for r in rest.follow(addresses, tries=1).collect())
+    assert got == [("a", 0, True), ("a", 1, True), ("bad", 0, True), ("bad", 1, False)]
+
+
+def test_chains_hold_a_page_each():
+    fetched = []
+
+    def fetch(url):
+        fetched.append(url)
+        name, page = url.split("/")
+        return json.dumps({"next_collection_link": f"{name}/{int(page) + 1}" if int(page) < 9 else None})
+
+    rows = rest.chains(["x/0", "y/0", "z/0"], fetch, 2)
+    next(rows)
+    assert len(fetched) == 2
+    assert len(list(rows)) == 29
+
+
+def test_long_field_values_stay_whole(spark):
+    name = "n" * 1_100_000
+    text = spark.createDataFrame([(f"Package: {name}\n",)], "text string")
+    assert P.control_names(text).first().name == name
+
+
 def test_retries_double_their_pauses():
     calls, waits = [], []
 
