@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, flat_graph, hilbert_shards, ngram_join, pii_crf, pu_toxicity, secret_ledger, soft_mixing
+from tidemark.llm import adaptive_quality, bpe_tree, dac_codes, flat_graph, hilbert_shards, ngram_join, packing, pii_crf, pu_toxicity, secret_ledger, soft_mixing, turns, whitening
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,19 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.pii_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard, op2_hilbert_shards, op3_adaptive_quality, op4_flat_graph, op5_pu_toxicity, op6_soft_mixing, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), top=4)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turns.digests(turns.damage(conversations), conversations)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard, op2_hilbert_shards, op3_adaptive_quality, op4_flat_graph, op5_pu_toxicity, op6_soft_mixing, op7_secret_ledger, op8_dac_tokens, op9_tree_bpe, op10_pii_crf, op11_packing, op12_whitening, op13_turn_repair)}
 
 ORACLE_SQL: dict[str, str] = {}
