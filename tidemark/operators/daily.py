@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import shard_letter
+from tidemark.operators.order import numbered
 from tidemark.schemas import DAILY, conform
 
 
@@ -82,13 +83,11 @@ def coverage(daily: DataFrame, *by: str) -> DataFrame:
 def shard_rows(df: DataFrame, order: list[str], shards: int) -> DataFrame:
     """``df`` with its shard: rows in a total order, dealt in turn. Without shards there are no rows.
 
-    Numbering needs one order over all rows; use it for rosters, one row for
-    each release. For mere parallelism, repartition.
+    For mere parallelism, repartition.
     """
     if shards <= 0:
         return df.withColumn("shard", F.lit(0)).where(F.lit(False))
-    number = F.row_number().over(Window.orderBy(*order)) - 1
-    return df.withColumn("shard", F.pmod(number, F.lit(shards)).cast("int"))
+    return numbered(df, order, "_row").withColumn("shard", F.pmod("_row", F.lit(shards)).cast("int")).drop("_row")
 
 
 def by_letter(items: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import DEFAULT_NAMESPACE
+from tidemark.config import DEFAULT_NAMESPACE, WINDOWS
 from tidemark.functions.text import percent_change
+from tidemark.operators.order import ranks
 from tidemark.schemas import SUMMARY, conform
 
 
@@ -46,16 +47,47 @@ def carry_forward(current: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def ranked(summary: DataFrame) -> DataFrame:
-    """Ranks by each window, ties sharing the least. One row an item, so one order over all is small."""
-    out = summary
-    for w in (30, 90, 365):
-        out = out.withColumn(f"rank_{w}d", F.rank().over(Window.orderBy(F.desc(f"total_{w}d"))).cast("long"))
-    return out
+    """Ranks by each window, ties sharing the least; no task sees all items."""
+    return ranks(summary, {f"total_{w}d": f"rank_{w}d" for w in (30, 90, 365)})
+
+
+def item_state(daily: DataFrame, *by: Column) -> DataFrame:
+    """First and last day and the total of each item (and of each value of ``by``): what the summary keeps of days that its windows have left behind.
+
+    States of disjoint sets of rows merge into that of all rows, see ``merged_state``.
+    """
+    return daily.groupBy("item", *by).agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.sum("n").cast("long").alias("n"))
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    return states.groupBy("item").agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.sum("n").cast("long").alias("n_total"))
+
+
+def open_days(anchor: datetime.date) -> datetime.date:
+    """The first day that a window of the summary can still see."""
+    return anchor - datetime.timedelta(days=max(WINDOWS.summary))
+
+
+def totals_from_state(states: DataFrame, recent: DataFrame, anchor: datetime.date) -> DataFrame:
+    """``window_totals`` of a history, from states that cover all of it and its daily rows from ``open_days`` on."""
+    windows = window_totals(recent.where(F.col("day") >= F.lit(open_days(anchor))), anchor).drop("first_day", "last_day", "n_total")
+    joined = merged_state(states).join(windows, "item", "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in windows.columns if c != "item"})
 
 
 def build(daily: DataFrame, identity: DataFrame, anchor: datetime.date | Column, prior: DataFrame | None = None) -> DataFrame:
     """The summary of all items, ordered by the 30-day rank, then name."""
-    current = with_identity(averages(window_totals(daily, anchor)), identity)
+    return summarized(window_totals(daily, anchor), identity, prior)
+
+
+def build_from_state(states: DataFrame, recent: DataFrame, identity: DataFrame, anchor: datetime.date, prior: DataFrame | None = None) -> DataFrame:
+    """``build`` without the daily rows that no window sees: ``states`` stand for them, see ``totals_from_state``."""
+    return summarized(totals_from_state(states, recent, anchor), identity, prior)
+
+
+def summarized(totals: DataFrame, identity: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """The summary of windowed totals, with the items of ``prior`` that have none."""
+    current = with_identity(averages(totals), identity)
     rows = carry_forward(current, prior) if prior is not None else conform(current, SUMMARY)
     return conform(ranked(rows), SUMMARY).orderBy("rank_30d", "item")
 
