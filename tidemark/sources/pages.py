@@ -50,10 +50,15 @@ def hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r'href="([^"]*)"'), F.lit(1))
 
 
+def directories(html: Column) -> Column:
+    """Names of the directories that an index page links to, as an array; parents and files are left out."""
+    names = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r'href="([^"/]+)/"'), F.lit(1))
+    return F.filter(names, lambda n: ~n.isin(".", ".."))
+
+
 def directory_names(pages: DataFrame) -> DataFrame:
-    """Names of the directories that index pages (html) link to; parents and files are left out."""
-    names = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r'href="([^"/]+)/"'), F.lit(1))
-    return pages.select(F.explode(names).alias("name")).where("name not in ('.', '..')")
+    """``directories`` of index pages (html), one a row."""
+    return pages.select(F.explode(directories(F.col("html"))).alias("name"))
 
 
 def control_names(texts: DataFrame, field: str = "Package") -> DataFrame:

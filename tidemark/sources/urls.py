@@ -1,7 +1,9 @@
-"""Addresses of the paged listings, as columns."""
+"""Addresses of the paged listings: as columns, and as text for readers that have no columns."""
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,3 +41,17 @@ def counts_url(api: str, ref: Column, source_id: Column, since: Column | None =
     if since is None:
         return url
     return F.concat(url, F.coalesce(F.concat(F.lit("&start_date="), F.date_format(since, "yyyy-MM-dd")), F.lit("")))
+
+
+def listing_address(api: str, ref: str, status: str | None = None, name: str | None = None, size: int = 300) -> str:
+    """``listing_url`` from the first entry on, or ``name_url`` where a name is given."""
+    if name is None:
+        out = f"{api.rstrip('/')}/{quote(ref, safe='')}?ws.op=getPublishedBinaries&ordered=false&ws.size={size}&ws.start=0"
+    else:
+        out = f"{api.rstrip('/')}/{quote(ref, safe='')}?ws.op=getPublishedBinaries&ordered=false&exact_match=true&ws.size={size}&binary_name={quote(name, safe='')}"
+    return out + (f"&status={quote(status, safe='')}" if status else "")
+
+
+def counts_address(api: str, ref: str, source_id: int, since: str | None = None, size: int = 300) -> str:
+    """``counts_url`` of one release."""
+    return f"{api.rstrip('/')}/{quote(ref, safe='')}/+binarypub/{source_id}?ws.op=getDownloadCounts&ws.size={size}" + (f"&start_date={since}" if since else "")
