@@ -1,7 +1,9 @@
 import datetime
 import hashlib
 import os
+import shutil
 import sqlite3
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.config import Channel, Floors
 from tidemark.plans import pipeline as L
+from tidemark.sinks import commits as C
 from tidemark.sinks import publish as P
 from tidemark.streaming import upserts
 
@@ -27,26 +30,31 @@ def test_only_touched_years_are_rewritten(spark, tmp_path):
     assert P.touched_years(new) == [2023, 2024]
 
 
-def test_manifest_notes_and_integrity(spark, tmp_path):
-    now = datetime.datetime(2024, 1, 2, 3, 4, 5, tzinfo=datetime.timezone.utc)
+def test_versions_and_notes(spark, tmp_path):
+    folder = str(tmp_path)
     years = P.merge_coverage({"2023": {"rows": 1}, "2024": {"rows": 2}}, {"2024": {"rows": 3, "first_day": "2024-01-01", "last_day": None}})
-    m = P.manifest(now, "live", ["main"], ["2024"], years, {"items": 2, "anchor": None})
-    file = tmp_path / "x.bin"
-    file.write_bytes(b"abc" * 1000)
-    core = P.integrity(str(file), {"t": spark.range(3)}, True)
-    assert core["file"] == {"name": "x.bin", "bytes": 3000, "sha256": hashlib.sha256(b"abc" * 1000).hexdigest()} and core["rows_by_table"] == {"t": 3}
-    P.write_manifest(spark, str(tmp_path), m, core)
-    back = P.read_manifest(spark, str(tmp_path))
-    assert back["run"]["name"] == "v20240102-030405" and back["complete"] is True and back["daily"]["2023"] == {"rows": 1}
+    assert C.head(spark, folder) == (0, None)
+    m = C.commit(spark, folder, {"run": {"mode": "live", "at": "2024-01-02T03:04:05Z"}, "parts": {"daily": years}, "rewritten": {"daily": ["2024"]}}, 0)
+    assert C.head(spark, folder) == (1, m) and m["parts"]["daily"]["2023"] == {"rows": 1}
     text = P.notes(m)
-    assert "2024-01-02 03:04:05 UTC" in text and "n/a" in text and text.index("| 2023 |") < text.index("| 2024 |") and "touched: 2024" in text
-    assert "none" in P.notes({**m, "touched": []}) and P.read_manifest(spark, str(tmp_path / "no")) is None
+    assert "2024-01-02 03:04:05 UTC" in text and "n/a" in text and text.index("| 2023 |") < text.index("| 2024 |") and "Rewritten: daily 2024" in text
+    assert "Rewritten: none" in P.notes({**m, "rewritten": {}})
+    with pytest.raises(C.Conflict):
+        C.commit(spark, folder, {"run": {}}, 0)
+    assert C.head(spark, folder) == (1, m)
+    # A version that was never written to its end is passed over, and its number is not used again.
+    (tmp_path / C.VERSIONS / "000000000002.json").write_text('{"run": ')
+    assert C.head(spark, folder) == (2, m)
+    assert C.commit(spark, folder, {"run": {}}, 2)["version"] == 3
 
 
 def test_sqlite_export(spark, tmp_path):
     path = str(tmp_path / "out.db")
     daily = spark.createDataFrame([("a", D(2024, 1, 2), 3)], schemas.DAILY)
-    P.export_sqlite(path, {"daily": daily, "summary": spark.createDataFrame([], schemas.SUMMARY)}, {"daily": "day"})
+    marks = P.export_sqlite(path, {"daily": daily, "summary": spark.createDataFrame([], schemas.SUMMARY)}, {"daily": "day"})
+    with open(path, "rb") as f:
+        held = f.read()
+    assert marks == {"bytes": len(held), "sha256": hashlib.sha256(held).hexdigest(), "rows": {"daily": 1, "summary": 0}}
     with sqlite3.connect(path) as db:
         assert db.execute("select * from daily").fetchall() == [("a", "2024-01-02", 3)] and db.execute("select count(*) from summary").fetchone() == (0,)
 
@@ -80,18 +88,30 @@ class Source:
 
 
 CHANNELS, FLOORS = [Channel("main", "x")], Floors(1, 1)
+_FIRST: list[tuple[str, dict]] = []
+
+
+def published(spark, folder):
+    """A folder after the first run, which is made once and copied: the source, and the version."""
+    if not _FIRST:
+        made = tempfile.mkdtemp(prefix="spark-first-")
+        _FIRST.append((made, L.refresh(spark, Source(spark).io(), made, CHANNELS, floors=FLOORS)))
+    shutil.copytree(_FIRST[0][0], folder, dirs_exist_ok=True)
+    return Source(spark), _FIRST[0][1]
 
 
 def table(spark, folder, name):
     store = L.Store(spark, folder)
     assert store.damaged() == []
+    if name == "releases":
+        return store.read_roster()
     return store.read_years(name, schemas.DAILY) if name == "daily" else spark.read.parquet(store.path(name))
 
 
 def test_cold_run_then_revision_then_heartbeat(spark, tmp_path):
-    folder, src = str(tmp_path), Source(spark)
-    m = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
-    assert m["totals"]["items"] == 2 and m["totals"]["anchor"] == "2024-06-01" and m["touched"] == ["2023", "2024"]
+    folder = str(tmp_path)
+    src, m = published(spark, folder)
+    assert m["tables"]["summary"]["rows"] == 2 and m["anchor"] == "2024-06-01" and m["rewritten"]["daily"] == ["2023", "2024"]
     assert {(r.item, r.day, r.n) for r in table(spark, folder, "daily").collect()} == {("abc", D(2024, 6, 1), 12), ("b", D(2023, 5, 1), 2)}
     # A late revision of one release leaves the other's counts alone; a release that fails keeps what it had.
     src.counted, src.broken = [("main", "r-cran-abc", "1", D(2024, 6, 1), 6)], [("r-cran-abc", "2")]
@@ -99,33 +119,33 @@ def test_cold_run_then_revision_then_heartbeat(spark, tmp_path):
     m = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
     assert src.asked[-1] == {("r-cran-abc", "1", D(2024, 3, 3)), ("r-cran-abc", "2", D(2024, 3, 3))}
     assert {(r.item, r.n) for r in table(spark, folder, "daily").collect()} == {("abc", 13), ("b", 2)}
-    assert m["touched"] == ["2024"]
+    assert m["rewritten"]["daily"] == ["2024"]
     # Nothing new: only the check moves on.
     src.counted, src.broken = [], []
     src.counted = [("main", "r-cran-abc", "1", D(2020, 1, 1), 6)]
     src.time += datetime.timedelta(days=1)
     h = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
-    assert h["run"]["mode"] == "unchanged" and h["touched"] == [] and h["run"]["data_from"] == m["run"]["data_from"] and h["snapshot"] == m["snapshot"]
+    assert h["run"]["mode"] == "unchanged" and h["rewritten"] == {} and h["data"] == m["data"] == {"version": 2, "at": "2024-07-02T00:00:00Z"} and h["parts"] == m["parts"] and h["version"] == 3
 
 
 def test_a_refresh_leaves_untouched_years_alone_and_tells_of_damage(spark, tmp_path):
-    folder, src = str(tmp_path), Source(spark)
-    first = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
+    folder = str(tmp_path)
+    src, first = published(spark, folder)
     src.counted = [("main", "r-cran-abc", "1", D(2024, 6, 2), 4)]
     src.time += datetime.timedelta(days=1)
     m = L.refresh(spark, src.io(), folder, CHANNELS, floors=FLOORS)
     for kind in ("facts", "daily"):
-        assert m[kind]["2023"] == first[kind]["2023"] and m[kind]["2024"]["snapshot"] == m["snapshot"]
-    assert not os.path.exists(tmp_path / m["snapshot"] / "daily" / "year=2023")
+        assert m["parts"][kind]["2023"] == first["parts"][kind]["2023"] and m["parts"][kind]["2024"]["snapshot"] == m["tables"]["summary"]["snapshot"]
+    assert not os.path.exists(tmp_path / m["tables"]["summary"]["snapshot"] / "daily" / "year=2023")
     assert {(r.artifact, r.release, r.n_total) for r in table(spark, folder, "releases").collect()} == {("r-cran-abc", "1", 9), ("r-cran-abc", "2", 7), ("r-bioc-b", "1", 2)}
     assert {(r.item, r.n_total) for r in table(spark, folder, "summary").collect()} == {("abc", 16), ("b", 2)}
     # A namespace that is preferred appears: the counts of the other one drop out of all years.
     src.listed, src.counted = [("main", 9, "r-cran-b", "1", "amd64")], [("main", "r-cran-b", "1", D(2024, 6, 3), 1)]
     src.time += datetime.timedelta(days=1)
-    roster = L.Store(spark, folder).read("releases", schemas.RELEASES)
+    roster = L.Store(spark, folder).read_roster()
     identity = L.known_identity(roster).withColumn("item", F.when(F.col("artifact") != "r-bioc-b", F.col("item"))).where("item is not null")
     assert L.moved_years(L.Store(spark, folder), L.known_identity(roster), identity, {2024}) == {2023}
-    file = next((tmp_path / first["snapshot"] / "daily" / "year=2023").glob("*.parquet"))
+    file = next((tmp_path / first["parts"]["daily"]["2023"]["snapshot"] / "daily" / "year=2023").glob("*.parquet"))
     spark.createDataFrame([("b", D(2023, 5, 1), 3)], schemas.DAILY).coalesce(1).write.parquet(str(tmp_path / "other"))
     file.write_bytes(next((tmp_path / "other").glob("*.parquet")).read_bytes())
     for crc in file.parent.glob(".*.crc"):
@@ -142,14 +162,13 @@ def test_runs_without_ledgers(spark, tmp_path):
     src.ledger = True
     src.time += datetime.timedelta(days=1)
     m = L.refresh(spark, src.io(), str(tmp_path), CHANNELS, reclassify=True, floors=FLOORS)
-    assert m["run"]["mode"] == "reclassify" and m["touched"] == []
+    assert m["run"]["mode"] == "reclassify" and m["rewritten"]["daily"] == [] and m["data"]["version"] == 1
     assert {(r.item, r.display_name) for r in table(spark, str(tmp_path), "summary").collect()} == {("abc", "ABC"), ("b", "B")}
 
 
 def test_history_is_protected_and_cold_runs_must_find_something(spark, tmp_path):
-    src = Source(spark)
-    L.refresh(spark, src.io(), str(tmp_path), CHANNELS, floors=FLOORS)
-    snapshot = P.read_manifest(spark, str(tmp_path))["snapshot"]
+    src, _ = published(spark, str(tmp_path))
+    snapshot = L.Store(spark, str(tmp_path)).parts("facts")["2023"]["snapshot"]
     os.rename(tmp_path / snapshot / "facts" / "year=2023", tmp_path / "gone")
     with pytest.raises(L.RunAborted, match="facts"):
         L.refresh(spark, src.io(), str(tmp_path), CHANNELS, floors=FLOORS)
@@ -163,9 +182,9 @@ def test_backfill_is_complete_or_nothing(spark, tmp_path):
     src.broken = [("r-bioc-b", "1")]
     with pytest.raises(L.RunAborted, match="could not be read"):
         L.backfill(spark, src.io(), str(tmp_path / "a"), CHANNELS, FLOORS)
-    assert P.read_manifest(spark, str(tmp_path / "a")) is None
+    assert C.head(spark, str(tmp_path / "a")) == (0, None)
     m = L.backfill(spark, src.io(), str(tmp_path / "b"), CHANNELS, FLOORS, require_complete=False)
-    assert m["totals"]["items"] == 1
+    assert m["tables"]["summary"]["rows"] == 1
     assert {(r.artifact, r.release, r.done, r.n_total) for r in table(spark, str(tmp_path / "b"), "releases").collect()} == {("r-cran-abc", "1", True, 5), ("r-cran-abc", "2", True, 7), ("r-bioc-b", "1", False, None)}
 
 
@@ -174,11 +193,11 @@ def test_a_backfill_goes_on_where_it_stopped(spark, tmp_path):
     src.broken = [("r-bioc-b", "1")]
     with pytest.raises(L.RunAborted, match="1 releases could not be read"):
         L.resumable_backfill(spark, src.io(), out, work, CHANNELS, FLOORS, waves=3)
-    assert P.read_manifest(spark, out) is None
+    assert C.head(spark, out) == (0, None)
     src.broken, src.asked = [], []
     m = L.resumable_backfill(spark, src.io(), out, work, CHANNELS, FLOORS, waves=3)
     asked = set().union(*src.asked)
-    assert ("r-bioc-b", "1", None) in asked and len(asked) < 3 and m["totals"]["items"] == 2
+    assert ("r-bioc-b", "1", None) in asked and len(asked) < 3 and m["tables"]["summary"]["rows"] == 2
     assert {(r.item, r.n) for r in table(spark, out, "daily").collect()} == {("abc", 12), ("b", 2)}
     assert all(r.done for r in table(spark, out, "releases").collect())
 

@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
@@ -15,11 +15,14 @@ from tidemark.operators import identity as I
 from tidemark.operators import names as N
 from tidemark.operators import releases as R
 from tidemark.operators import summary as S
+from tidemark.operators.facts import facts_of, replace_intervals
+from tidemark.operators.order import numbered, ranks
 from tidemark.plans import adapter as A
 from tidemark.schemas import RELEASES, SUMMARY, conform, empty
 from tidemark.sinks.publish import merge_coverage, year_coverage
 from tidemark.sources import pages as P
 from tidemark.sources import urls as U
+from tidemark.sources.universes import field, stanzas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,6 +214,28 @@ def summary_sql_view(spark, sf):
     return spark.sql("select item, namespace, lifecycle, n_total from item_summary where rank_30d <= 20")
 
 
+@query(f"{_DAYS_WINDOWS} SELECT item, first_day, last_day, n_total, total_30d, total_90d, total_365d, prev_30d FROM totals")
+def summary_from_state(spark, sf):
+    """The windows from states of items by year and the days that a window can see, as a refresh makes them."""
+    days, anchor = _item_days(spark, sf), _anchor(spark, sf)
+    states = S.item_state(days, F.year("day").alias("year")).drop("year")
+    return S.totals_from_state(states, days.where(F.col("day") >= F.lit(S.open_days(anchor))), anchor)
+
+
+@query(f"WITH {A.RAW}, t AS (SELECT channel, artifact, release, CAST(sum(n) AS BIGINT) AS n_total, count(*) AS lines FROM raw GROUP BY ALL) SELECT *, rank() OVER (ORDER BY n_total DESC) AS rank_total, rank() OVER (ORDER BY lines DESC) AS rank_lines FROM t")
+def release_ranks(spark, sf):
+    """All releases ranked by their totals and by their lines, which many share."""
+    totals = A.raw_counts(spark, sf).groupBy(*R.KEY).agg(F.sum("n").cast("long").alias("n_total"), F.count(F.lit(1)).alias("lines"))
+    return ranks(totals, {"n_total": "rank_total", "lines": "rank_lines"})
+
+
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS place FROM lineitem")
+def line_numbers(spark, sf):
+    """Every line's place in the order of shipping."""
+    lines = A.table(spark, sf, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber")
+    return numbered(lines, ["l_shipdate", "l_orderkey", "l_linenumber"], "place").drop("l_shipdate")
+
+
 # -- identity and roster ----------------------------------------------------
 
 
@@ -308,6 +333,23 @@ def shard_item_totals(spark, sf):
     return A.item_counts(spark, sf).groupBy((F.col("p_partkey") % 4).alias("shard"), "item").agg(F.sum("n").cast("long").alias("n"))
 
 
+_REPLACED = f"""WITH {A.RAW}, old AS (SELECT channel, artifact, release, day, CAST(sum(n) AS BIGINT) AS n FROM raw WHERE l_orderkey % 2 = 0 GROUP BY ALL),
+new AS (SELECT channel, artifact, release, day, CAST(sum(n) AS BIGINT) AS n FROM raw WHERE l_orderkey % 3 = 0 AND channel <> 'old' AND day >= DATE '2000-01-01' GROUP BY ALL),
+read AS (SELECT DISTINCT channel, artifact, release, CASE WHEN channel = 'main' THEN DATE '2000-01-01' END AS since FROM raw WHERE channel <> 'old'),
+kept AS (SELECT old.* FROM old LEFT JOIN read USING (channel, artifact, release) WHERE channel = 'old' OR old.day < read.since)
+SELECT channel, artifact, release, day, n FROM new UNION ALL SELECT channel, artifact, release, day, n FROM kept"""
+
+
+@query(_REPLACED)
+def facts_replaced(spark, sf):
+    """Facts of which a later read replaces those of two channels, of one from a day on, of one whole; withdrawn days go."""
+    raw = A.raw_counts(spark, sf)
+    old = facts_of(raw.where("l_orderkey % 2 = 0"))
+    new = facts_of(raw.where((F.col("l_orderkey") % 3 == 0) & (F.col("channel") != "old") & (F.col("day") >= F.lit(SPLIT))))
+    read = raw.where("channel <> 'old'").select(*R.KEY, F.when(F.col("channel") == "main", F.lit(SPLIT)).alias("since")).distinct()
+    return replace_intervals(old, new, read)
+
+
 # -- sets of names ----------------------------------------------------------
 
 
@@ -418,6 +460,15 @@ def control_text_parse(spark, sf):
     return names.select(F.substring_index("name", "=", 1).cast("long").alias("id"), F.substring_index("name", "=", -1).alias("name"))
 
 
+@query("SELECT p_partkey AS id, trim(p_name) AS name, trim(p_brand) || ' ' || trim(p_type) AS depends FROM part")
+def stanza_fields(spark, sf):
+    """Control stanzas, one for each part, with a field that goes on in a second line."""
+    parts = A.table(spark, sf, "part")
+    text = F.concat(F.lit("Package:  "), F.col("p_name"), F.lit("\nDepends: "), F.col("p_brand"), F.lit("\n  "), F.col("p_type"), F.lit("\nId: "), F.col("p_partkey"), F.lit("\n\n"))
+    rows = stanzas(parts.select(text.alias("text")))
+    return rows.select(field("text", "Id").cast("long").alias("id"), field("text", "Package").alias("name"), field("text", "Depends").alias("depends"))
+
+
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(ts, 'v%Y%m%d-%H%M%S') AS tag, strftime(ts, '%Y-%m-%d %H:%M:%S UTC') AS shown FROM events")
 def iso_timestamp(spark, sf):
     iso = X.iso_time("ts")
@@ -477,12 +528,7 @@ def published_page_parse(spark, sf):
 @query(f"WITH {A.RAW}, {_ITEM_DAYS} SELECT item, day, n, row_number() OVER (ORDER BY item, day) AS place FROM days")
 def daily_sorted(spark, sf):
     """The places of daily rows in the order in which they are published: by item and day, as UTF-8 bytes order."""
-    days = _item_days(spark, sf)
-    before = Window.orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
-    # One row an item.
-    starts = days.groupBy("item").agg(F.count(F.lit(1)).alias("rows")).select("item", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    own = F.row_number().over(Window.partitionBy("item").orderBy("day"))
-    return days.withColumn("own", own).join(starts, "item").select("item", "day", "n", (F.col("start") + F.col("own")).alias("place"))
+    return numbered(_item_days(spark, sf), ["item", "day"], "_row").select("item", "day", "n", (F.col("_row") + 1).alias("place"))
 
 
 @query("SELECT '' AS item, '' AS item_lower, '' AS namespace, '' AS display_name, CAST(0 AS BIGINT) AS total_30d, CAST(0 AS BIGINT) AS total_90d, CAST(0 AS BIGINT) AS total_365d, CAST(0 AS BIGINT) AS rank_30d, CAST(0 AS BIGINT) AS rank_90d, CAST(0 AS BIGINT) AS rank_365d, CAST(0 AS DOUBLE) AS avg_daily_30d, CAST(0 AS DOUBLE) AS trend, DATE '2000-01-01' AS first_day, DATE '2000-01-01' AS last_day, CAST(0 AS BIGINT) AS n_total, '' AS lifecycle WHERE false")

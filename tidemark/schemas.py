@@ -22,6 +22,9 @@ RELEASES = _schema(
     ("channel", _S, False), ("artifact", _S, False), ("release", _S, False), ("source_id", _L, True), ("item", _S, True), ("namespace", _S, True),
     ("display_name", _S, True), ("lifecycle", _S, True), ("n_total", _L, True), ("last_day", _D, True), ("done", _B, True),
 )
+#: What the summary keeps of an item's days in one year, and the artifacts that have counts in one.
+STATE = _schema(("item", _S, False), ("first_day", _D, False), ("last_day", _D, False), ("n", _L, False))
+ARTIFACTS = _schema(("artifact", _S, False), ("of_year", T.IntegerType(), False))
 SUMMARY = _schema(
     ("item", _S, False), ("item_lower", _S, True), ("namespace", _S, True), ("display_name", _S, True), ("total_30d", _L, True), ("total_90d", _L, True), ("total_365d", _L, True),
     ("rank_30d", _L, True), ("rank_90d", _L, True), ("rank_365d", _L, True), ("avg_daily_30d", _F, True), ("trend", _F, True), ("first_day", _D, True), ("last_day", _D, True), ("n_total", _L, True), ("lifecycle", _S, True),

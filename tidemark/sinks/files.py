@@ -40,3 +40,38 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(target, False)
         if not fs.rename(beside, target):
             raise OSError(f"could not put {path} in place")
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what is in a folder; none where there is no folder."""
+    fs, target = _at(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last changed, in seconds since 1970."""
+    fs, target = _at(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _at(spark, path)
+    fs.delete(target, True)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that must not be there yet; False, with the file as it was, if it is."""
+    fs, target = _at(spark, path)
+    if fs.exists(target):
+        return False
+    try:
+        out = fs.create(target, False)  # stores that can, refuse this if another has come first
+    except Exception:
+        if fs.exists(target):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
