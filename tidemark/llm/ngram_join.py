@@ -18,8 +18,10 @@ candidates that are left. It runs here in three steps.
    search proper. A set asks for partners in other groups of its
    group's size or more; its lists, which hold groups, are ordered by length, L follows from
    T and the longest one, and the short lists are merged to T - L occurrences.
-   Members of the groups left are probed for the set's shingles by binary
-   search, until the outcome is certain.
+   Groups that are left are met in blocks of their own inverted lists: there
+   the short lists are merged once more, which counts occurrences by member,
+   and only members with T - L of them are probed in the L long lists. The
+   first member that links ends the search in a block, as one link joins the groups.
 
 Links between groups are all found, and groups are joined by links, so
 components are exact.
@@ -50,8 +52,10 @@ HEAD_TURNS, HEADS = 4, 3
 FEW = 0.1
 #: What chance adds to the (binary logarithm of the) centrality of a head at most.
 CHANCE = 0.2
-#: How much probing a long list costs against merging it, in the choice of L (after Li, Lu and Lu, 2008): merging means a shuffle here, so L is near T.
-LONG_COST = 0.001
+#: How much probing a long list costs against merging it, in the choice of L (after Li, Lu and Lu, 2008).
+LONG_COST = 0.02
+#: Postings of a block of a group's inverted lists, on average.
+BLOCK = 1 << 15
 #: Shingles probed before it is asked whether the outcome is certain.
 PROBE = 64
 
@@ -111,12 +115,11 @@ def _packed(parts: list[np.ndarray], sizes: np.ndarray, keys: np.ndarray, task:
     known = np.bincount(owner[np.repeat(length > 1, length)], minlength=len(parts))
     need = taken - (sizes - -(-percent * sizes // 100))
     s, owner, several = s[at], owner[at], length > 1
-    width = int(SCREEN * 2**64) // buckets + 1
-    edges = np.searchsorted(s, np.array([i * width - 2**63 for i in range(1, buckets)], dtype=np.int64))
+    bucket_of = (s.astype(np.uint64) + np.uint64(2**63)) // np.uint64(int(SCREEN * 2**64) // buckets + 1)
+    edges = _starts(bucket_of)
     rows = [((task + turn) % buckets, pack, False, keys.tobytes(), known.astype(np.int32).tobytes(), need.astype(np.int32).tobytes())]
-    for bucket, (x, y) in enumerate(zip([0, *edges], [*edges, len(s)])):
-        if x < y:
-            rows.append((bucket, pack, True, s[x:y].tobytes(), keys[owner[x:y]].tobytes(), several[x:y].tobytes()))
+    for x, y in zip(edges, [*edges[1:], len(s)]):
+        rows.append((int(bucket_of[x]), pack, True, s[x:y].tobytes(), keys[owner[x:y]].tobytes(), several[x:y].tobytes()))
     yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _PACK)], schema=_PACK)
 
 
@@ -292,16 +295,74 @@ def _regrouped(lists: DataFrame, links: DataFrame) -> DataFrame:
     return lists.join(labels, "x", "left").select("s", "x", "n", F.coalesce("label", "x").alias("g"))
 
 
-def divide_skip(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All links (a, b) between sets of different groups, from the rows (s, x, n, g, m) of the inverted lists.
+def _blocks(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """gb and postings (s, x, n, m) of each block of the inverted lists of some groups; a set is in one block."""
+    wanted = lists.join(groups, "g", "left_semi").select("s", "x", "n", "m", "g")
+    weights = wanted.groupBy("g").count().select("g", F.ceil(F.col("count") / BLOCK).alias("parts"))
+    dealt = wanted.join(weights, "g").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")))
+    postings = F.sort_array(F.collect_list(F.struct("s", "x", "n", "m")))
+    return dealt.groupBy(F.col("g").alias("gb"), "part").agg(postings.alias("postings")).select("gb", "postings")
+
+
+def first_link(postings: np.ndarray, na: int, ma: int, least: int, short: np.ndarray, long: np.ndarray, percent: int) -> int | None:
+    """A set of a block that links to the set with the given lists, or None.
+
+    ``postings`` has columns s, x, n and m, ordered by s. The short lists are
+    merged by counting their sets; those with ``least`` occurrences or more are
+    probed in the long lists.
+    """
+    s = postings[0]
+    sets, first, owner = np.unique(postings[1], return_index=True, return_inverse=True)
+    nb, mb = postings[2][first], postings[3][first]
+    need = -(-(na + nb) * percent // (100 + percent))
+
+    def occurrences(wanted: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(s, wanted, "left"), np.searchsorted(s, wanted, "right")
+        length = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
+        return np.bincount(owner[at], minlength=len(sets))
+
+    found = occurrences(short) if len(short) else np.zeros(len(sets), np.int64)
+    left = (found >= least) & (np.minimum(ma, mb) >= need)
+    if not left.any():
+        return None
+    if (found + len(long) >= need)[left].any() and len(long):
+        found = found + occurrences(long)
+    links = np.flatnonzero(left & (found >= need))
+    return int(sets[links[0]]) if len(links) else None
+
+
+def _searched(pairs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b), one at most for each row (a, na, ma, least, merge, wanted, postings)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = zip(*(batch.column(i).to_pylist() for i in range(5)))
+            held = batch.column(6)
+            fields = [f.to_numpy(zero_copy_only=False) for f in held.values.flatten()]
+            ends = held.offsets.to_numpy()
+            base = ends[0]
+            fields = [f[base : ends[-1]] if len(f) != ends[-1] - base else f for f in fields]
+            out = []
+            for (a, na, ma, least, merge), wanted, lo, hi in zip(numbers, _arrays(batch.column(5)), ends - base, ends[1:] - base):
+                b = first_link([f[lo:hi] for f in fields], na, ma, least, wanted[:merge], wanted[merge:], percent)
+                if b is not None:
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(2)], schema=schema)
+
+    return pairs.select("a", "na", "ma", "least", "merge", "wanted", "postings").mapInArrow(run, "a long, b long")
+
+
+def divide_skip(lists: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join all groups which have any, from the rows (s, x, n, g, m) of the inverted lists.
 
     Lists hold groups. Of two groups the sets of the smaller one (of equal
     ones, of that of lesser number) ask for the other, with which they share at
-    least T = ceil(s * n). Members of the groups that the merge of the short
-    lists leaves are probed for the set's shingles, rarest first.
+    least T = ceil(s * n). Groups that the merge of the short lists leaves are
+    met in blocks, see ``first_link``: rows are sets times blocks, not sets times members.
     """
-    members = cut(lists.groupBy("x").agg(F.first("n").alias("nb"), F.first("g").alias("gb"), F.first("m").alias("mb")).withColumnRenamed("x", "b"), "join-members")
-    sizes = members.groupBy(F.col("gb").alias("g")).agg(F.count(F.lit(1)).alias("k"))
+    sizes = lists.groupBy("g").agg(F.countDistinct("x").alias("k"))
     lists = lists.join(sizes, "g")
     index = lists.groupBy("s", "g", "k").agg(F.min("n").alias("nb"), F.max("m").alias("mb")).select("s", F.col("g").alias("gb"), F.col("k").alias("kb"), "nb", "mb")
     lengths = index.groupBy("s").count()
@@ -314,13 +375,11 @@ def divide_skip(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     smaller = (F.col("ka") < F.col("kb")) | ((F.col("ka") == F.col("kb")) & (F.col("ga") < F.col("gb")))
     # The least size and the most open lists of the group's members stand for those of a partner.
     met = query.join(index, "s").where(smaller & _open_pair(percent))
-    merged = cut(met.groupBy("a", "na", "ga", "ma", "gb", "least").count().where(F.col("count") >= F.col("least")).drop("count", "least"), "join-merged")
-    pairs = merged.join(members, "gb").where(_open_pair(percent))
-    candidates = cut(pairs.select("a", "b", F.lit(0).alias("found"), _needed(F.col("na"), F.col("nb"), percent).alias("need")), "join-candidates")
-    wanted = asking.select(F.col("x").alias("a"), "wanted")
-    held = sets.select(F.col("x").alias("b"), F.col("shingles").alias("held"))
-    links = cut(_probe(candidates.join(wanted, "a").join(held, "b")), "join-links")
-    discard(asking, merged, candidates, members)
+    merged = cut(met.groupBy("a", "na", "ma", "gb", "least").count().where(F.col("count") >= F.col("least")).drop("count"), "join-merged")
+    blocks = _blocks(lists, merged.select(F.col("gb").alias("g")).distinct())
+    own = asking.select(F.col("x").alias("a"), "merge", "wanted")
+    links = cut(_searched(merged.join(own, "a").join(blocks, "gb"), percent), "join-links")
+    discard(asking, merged)
     return links
 
 
@@ -357,7 +416,7 @@ def similarity_join(docs: DataFrame, percent: int = 80) -> DataFrame:
         discard(before)
         if some < FEW * met:
             break
-    rest = divide_skip(lists, sets, percent)
+    rest = divide_skip(lists, percent)
     links = rest if links is None else links.unionByName(rest)
 
     if not linkable.groupBy("doc_id").count().where("count > 1").isEmpty():
