@@ -295,13 +295,14 @@ def _regrouped(lists: DataFrame, links: DataFrame) -> DataFrame:
     return lists.join(labels, "x", "left").select("s", "x", "n", F.coalesce("label", "x").alias("g"))
 
 
-def _blocks(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """gb and postings (s, x, n, m) of each block of the inverted lists of some groups; a set is in one block."""
-    wanted = lists.join(groups, "g", "left_semi").select("s", "x", "n", "m", "g")
-    weights = wanted.groupBy("g").count().select("g", F.ceil(F.col("count") / BLOCK).alias("parts"))
-    dealt = wanted.join(weights, "g").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")))
+def _blocks(lists: DataFrame, weights: DataFrame) -> DataFrame:
+    """gb, part and postings (s, x, n, m) of each block of the inverted lists of the groups in ``weights`` (g, parts); a set is in one block.
+
+    Postings are dealt by group and block, so a large group is spread.
+    """
+    dealt = lists.select("s", "x", "n", "m", "g").join(sized(weights), "g").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")))
     postings = F.sort_array(F.collect_list(F.struct("s", "x", "n", "m")))
-    return dealt.groupBy(F.col("g").alias("gb"), "part").agg(postings.alias("postings")).select("gb", "postings")
+    return dealt.groupBy(F.col("g").alias("gb"), "part").agg(postings.alias("postings"))
 
 
 def first_link(postings: np.ndarray, na: int, ma: int, least: int, short: np.ndarray, long: np.ndarray, percent: int) -> int | None:
@@ -376,10 +377,13 @@ def divide_skip(lists: DataFrame, percent: int) -> DataFrame:
     # The least size and the most open lists of the group's members stand for those of a partner.
     met = query.join(index, "s").where(smaller & _open_pair(percent))
     merged = cut(met.groupBy("a", "na", "ma", "gb", "least").count().where(F.col("count") >= F.col("least")).drop("count"), "join-merged")
-    blocks = _blocks(lists, merged.select(F.col("gb").alias("g")).distinct())
+    sought = cut(merged.select(F.col("gb").alias("g")).distinct(), "join-sought")
+    weights = lists.groupBy("g").count().join(sized(sought), "g").select("g", F.ceil(F.col("count") / BLOCK).alias("parts"))
+    weights = cut(weights, "join-weights")
     own = asking.select(F.col("x").alias("a"), "merge", "wanted")
-    links = cut(_searched(merged.join(own, "a").join(blocks, "gb"), percent), "join-links")
-    discard(asking, merged)
+    parts = sized(weights).select(F.col("g").alias("gb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    links = cut(_searched(merged.join(own, "a").join(parts, "gb").join(_blocks(lists, weights), ["gb", "part"]), percent), "join-links")
+    discard(asking, merged, sought, weights)
     return links
 
 
