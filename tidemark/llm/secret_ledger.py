@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, new_path
+from tidemark.llm.common import cut, free_name, new_path
 
 
 @dataclass(frozen=True)
@@ -150,8 +150,9 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
     scan(docs, ledger_path, rules)
     if _ledger(spark, ledger_path) is None:
         return docs
-    found = findings(spark, ledger_path, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    rows = docs.withColumn("_blob", blob_id(F.col("text"))).join(found, "_blob", "left")
+    blob, spans, new = (free_name(docs, f"_secret_{n}") for n in ("blob", "spans", "text"))
+    found = findings(spark, ledger_path, rules).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    rows = docs.withColumn(blob, blob_id(F.col("text"))).join(found, blob, "left")
     text = F.col("text")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
@@ -160,9 +161,10 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
         fresh = s["start"] >= state["at"]
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"]).alias("out"))
 
-    masked = F.aggregate("_spans", start, put, lambda st: F.concat(st["out"], F.substring(text, (st["at"] + 1).cast("int"), F.length(text))))
-    rows = rows.withColumn("_text", F.when(F.col("_spans").isNull(), text).otherwise(masked))
-    changed = {"text": F.col("_text")}
+    masked = F.aggregate(spans, start, put, lambda st: F.concat(st["out"], F.substring(text, (st["at"] + 1).cast("int"), F.length(text))))
+    clean = F.col(spans).isNull()
+    rows = rows.withColumn(new, F.when(clean, text).otherwise(masked))
+    changed = {"text": F.col(new)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))
+        changed["n_chars"] = F.when(clean, F.col("n_chars")).otherwise(F.length(new).cast("long"))
     return rows.withColumns(changed).select(*docs.columns)

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, sized
+from tidemark.llm.common import cut, free_name, sized
 
 #: Hash buckets of words, and words added to each bucket of each domain.
 BUCKETS, SMOOTHING = 1 << 16, 2.0
@@ -28,8 +28,10 @@ _WORDS = r"[\x20\x09-\x0D]+"
 
 
 def _bucketed(docs: DataFrame, *keep: str) -> DataFrame:
+    """The bucket of every word; a text without words has one row without a bucket. ``first`` marks one row of each text."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), _WORDS), lambda w: w != "")
-    return docs.select(*keep, F.explode_outer(words).alias("word")).select(*keep, F.when(F.col("word").isNotNull(), F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")).alias("bucket"))
+    rows = docs.select(*keep, F.posexplode_outer(words).alias("place", "word"))
+    return rows.select(*keep, F.when(F.col("word").isNotNull(), F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")).alias("bucket"), (F.coalesce("place", F.lit(0)) == 0).alias("first"))
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float]]:
@@ -53,25 +55,27 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[Dat
 
 
 def posteriors(docs: DataFrame, weights: DataFrame, priors: list[float]) -> DataFrame:
-    """doc_id, text_hash, n_tokens (words) and a posterior p0, p1, ... for each domain.
+    """doc_id, text_hash, n_tokens (words of all its rows), n_rows and a posterior p0, p1, ... for each domain.
 
     Evidence is damped by the root of the number of words. One row for each
-    distinct (doc_id, text); a text without words has the priors.
+    distinct (doc_id, text); its rows count for its tokens, and once as
+    evidence. A text without words has the priors.
     """
     k = len(priors)
     unseen = [F.first(F.col(f"u{i}"), ignorenulls=True) for i in range(k)]
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     words = _bucketed(keyed, "doc_id", "text_hash").join(F.broadcast(weights.drop(*(f"u{i}" for i in range(k)))), "bucket", "left")
-    sums = words.groupBy("doc_id", "text_hash").agg(F.count("bucket").alias("n"), *(F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)))
+    sums = words.groupBy("doc_id", "text_hash").agg(F.count_if("first").alias("n_rows"), F.count("bucket").alias("all"), *(F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)))
+    sums = sums.select("doc_id", "text_hash", "n_rows", "all", (F.col("all") / F.col("n_rows")).cast("long").alias("n"), *((F.col(f"s{i}") / F.col("n_rows")).alias(f"s{i}") for i in range(k)))
     base = weights.agg(*(u.alias(f"b{i}") for i, u in enumerate(unseen))).first()
     base = [b or 0.0 for b in base]
     damp = F.sqrt(F.greatest("n", F.lit(1)))
     score = [F.lit(priors[i]) + (F.col(f"s{i}") + F.col("n") * base[i]) / damp for i in range(k)]
-    rows = sums.select("doc_id", "text_hash", F.col("n").alias("n_tokens"), *(s.alias(f"z{i}") for i, s in enumerate(score)))
+    rows = sums.select("doc_id", "text_hash", F.col("all").alias("n_tokens"), "n_rows", *(s.alias(f"z{i}") for i, s in enumerate(score)))
     top = F.greatest(*(F.col(f"z{i}") for i in range(k))) if k > 1 else F.col("z0")
-    rows = rows.select("doc_id", "text_hash", "n_tokens", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
+    rows = rows.select("doc_id", "text_hash", "n_tokens", "n_rows", *(F.exp(F.col(f"z{i}") - top).alias(f"e{i}") for i in range(k)))
     total = reduce(Column.__add__, (F.col(f"e{i}") for i in range(k)))
-    return rows.select("doc_id", "text_hash", "n_tokens", *((F.col(f"e{i}") / total).alias(f"p{i}") for i in range(k)))
+    return rows.select("doc_id", "text_hash", "n_tokens", "n_rows", *((F.col(f"e{i}") / total).alias(f"p{i}") for i in range(k)))
 
 
 def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
@@ -94,7 +98,7 @@ def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 
 
 def fit_rates(members: DataFrame, shares: list[float], keep: int | None = None, slack: float = 1.02) -> tuple[Column, list[float], list[float]]:
-    """The rate of a row of ``members`` (written), and the domains' totals and targets.
+    """The rate of a row of ``members`` (written), and the domains' totals at these rates and targets.
 
     Totals of all tokens stay what they are, or with ``keep`` grow or shrink so
     that the kept domain's target is ``slack`` times what it has.
@@ -106,14 +110,14 @@ def fit_rates(members: DataFrame, shares: list[float], keep: int | None = None,
     whole = sum(now) if keep is None or shares[keep] <= 0 else slack * now[keep] / shares[keep]
     target = [whole * s / sum(shares) for s in shares]
     rate, totals = F.lit(1.0), now
-    for _ in range(ROUNDS):
+    for left in range(ROUNDS, -1, -1):
         live = F.when(rate > 0, tokens).otherwise(0.0)
         sums = members.withColumn("r", rate).agg(
             *(F.coalesce(F.sum(F.col("r") * tokens * q), F.lit(0.0)).alias(f"t{i}") for i, q in enumerate(p)),
             *(F.coalesce(F.sum(live * p[i] * p[j]), F.lit(0.0)).alias(f"h{i}_{j}") for i in range(k) for j in range(i, k)),
         ).first()
         totals = [sums[f"t{i}"] for i in range(k)]
-        if max(abs(a - b) for a, b in zip(totals, target)) <= ERROR * max(whole, 1.0):
+        if left == 0 or max(abs(a - b) for a, b in zip(totals, target)) <= ERROR * max(whole, 1.0):
             break
         gram = [[sums[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
         step = _solve(gram, [a - b for a, b in zip(totals, target)])
@@ -122,26 +126,35 @@ def fit_rates(members: DataFrame, shares: list[float], keep: int | None = None,
     return rate, totals, target
 
 
-def copies(rate: Column, key: Column) -> Column:
+def copies(rate: Column, *key: Column) -> Column:
     """A whole number of copies whose expectation is the rate, decided by a hash of the key."""
-    chance = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.xxhash64(*key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     return F.floor(rate + chance).cast("long")
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], keep: str | None = None) -> DataFrame:
-    """Rates of all documents: doc_id, text_hash, n_tokens, p_<domain>, rate and copies.
+class TargetsMissed(ValueError):
+    """No rates give the domains their targets."""
 
-    ``targets`` are shares by domain. One row for each distinct (doc_id, text);
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], keep: str | None = None, tolerance: float | None = None) -> DataFrame:
+    """Rates of all documents: doc_id, text_hash, n_tokens, n_rows, p_<domain>, rate, copies and missed.
+
+    ``targets`` are shares by domain. ``missed`` (one value) is the largest
+    difference of a domain's expected tokens from its target, as a share of all
+    tokens; more than ``tolerance`` is an error, if one is given. One row for each distinct (doc_id, text);
     null or empty texts have no tokens and the priors as posteriors; without
     labelled rows posteriors are equal; an empty table gives no rows.
     """
     domains = list(targets)
     weights, priors = train(docs, labelled, domains)
     members = cut(posteriors(docs, weights, priors), "mix-members")
-    rate, _, _ = fit_rates(members, list(targets.values()), domains.index(keep) if keep else None)
+    rate, totals, wanted = fit_rates(members, list(targets.values()), domains.index(keep) if keep else None)
+    missed = max(abs(a - b) for a, b in zip(totals, wanted)) / max(sum(wanted), 1.0)
+    if tolerance is not None and missed > tolerance:
+        raise TargetsMissed(f"expected tokens {dict(zip(domains, totals))} for targets {dict(zip(domains, wanted))}")
     named = [F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)]
     out = members.withColumn("rate", rate)
-    return out.select("doc_id", "text_hash", "n_tokens", *named, "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    return out.select("doc_id", "text_hash", "n_tokens", "n_rows", *named, "rate", copies(F.col("rate"), F.col("doc_id"), F.col("text_hash")).alias("copies"), F.lit(missed).alias("missed"))
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -152,6 +165,8 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 def resample(docs: DataFrame, rates: DataFrame) -> DataFrame:
     """``docs`` with every row as often as ``rates`` says; columns stay as they are."""
-    keys = rates.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.max("copies").alias("_copies"))
-    rows = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")}).join(keys.select(F.col("_id").alias("_id2"), F.col("_hash").alias("_hash2"), "_copies"), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_hash") == F.col("_hash2")))
-    return rows.where("_copies > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    key, text_hash, own, own_hash, times, turn = (free_name(docs, f"_mix_{n}") for n in ("id", "hash", "own", "own_hash", "copies", "turn"))
+    keys = rates.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash)).agg(F.max("copies").alias(times))
+    rows = docs.withColumns({own: F.col("doc_id").cast("long"), own_hash: F.xxhash64("text")})
+    rows = rows.join(keys, F.col(own).eqNullSafe(F.col(key)) & (F.col(own_hash) == F.col(text_hash)))
+    return rows.where(F.col(times) > 0).withColumn(turn, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)
