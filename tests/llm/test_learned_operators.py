@@ -116,6 +116,18 @@ def test_audit_sees_what_a_dense_group_hides(spark, monkeypatch):
     assert {r.audit_recall for r in got.values()} == {1.0}
 
 
+def test_a_vec_id_with_several_vectors_counts_its_partners_once(spark):
+    rnd = np.random.default_rng(2)
+    a, b, far = rnd.normal(size=16), rnd.normal(size=16), rnd.normal(size=16)
+    near = lambda v: [float(c) for c in v + rnd.normal(size=16) * 0.01]
+    rows = [(7, near(a), 0), (7, near(a), 0), (9, near(a), 0), (3, near(b), 0), (7, near(b), 0), (20, near(b), 0), (20, near(b), 1), (30, near(far), 1), (None, near(a), 0), (40, near(b), 1)]
+    rows.append((50, *rows[0][1:]))  # the same vector as one of 7
+    df = spark.createDataFrame([(*r, 1, True, "x") for r in rows], VECTORS)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in flat_graph.near_duplicates(df).collect()}
+    assert got.pop(None) == (0, None)
+    assert got == brute_links([r for r in rows if r[0] is not None]) and got[9] == (2, 3)
+
+
 def test_vectors_without_rows(spark):
     assert flat_graph.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 

@@ -179,13 +179,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     Only vectors of one non-null label are compared. A vector that is null,
     empty or zero, or holds null or non-finite components, links with nothing,
     and so does one of another length. Equal vectors are searched once.
-    Repeated rows are one vector; a null vec_id links with nothing, has no
+    Repeated rows are one vector; rows of one vec_id with different vectors are
+    one too, which links as any of them does: ``n_links`` counts other
+    vec_ids. A null vec_id links with nothing, has no
     component and is kept false; an empty table gives no rows.
     """
     # Groups of one label and length, under one text key.
     rows = _valid(vectors).distinct().withColumn("label", F.concat_ws("|", F.size("v"), "label"))
     rows = cut(rows, "graph-vectors")
-    firsts = cut(rows.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "graph-firsts")
+    # ``rep`` numbers the distinct vectors; the numbers stay as they are once written.
+    firsts = cut(rows.groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies")).withColumn("rep", F.monotonically_increasing_id()), "graph-firsts")
     large = {r["label"]: r["n"] for r in firsts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_ROWS).collect()}  # at most rows / SHARD_ROWS entries
     centres: dict[str, np.ndarray] = {}
     if large:
@@ -228,7 +231,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         per_row = rows.join(firsts.drop("copies"), ["label", "v"]).select("label", "vec_id", "rep").join(counts, ["label", "rep"], "left")
         return cut(per_row.select("label", "vec_id", "rep", F.coalesce("n_links", F.lit(0)).alias("n_links")), "graph-counts")
 
-    true = true_links(rows, threshold)
+    repeated = cut(rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id"), "graph-repeated")
+    true = cut(true_links(rows, threshold).join(sized(repeated), "vec_id", "left_anti"), "audit-true")
     done = _search_all(members, BEAM, threshold)
     per_row = counted(done)
     recall, short = audit(true, per_row)
@@ -247,15 +251,55 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         per_row = counted(done)
         recall, short = audit(true, per_row)
     stars = done.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
-    own = per_row.select(F.col("vec_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    # Vectors of one vec_id belong together; then every component is named by its least vec_id.
+    own = per_row.join(per_row.groupBy("vec_id").agg(F.min("rep").alias("b")), "vec_id").where("rep <> b").select(F.col("rep").alias("a"), "b")
     labels = components(own.unionByName(stars))
-    # One vec_id may stand for several vectors: links of all of them count.
-    sums = per_row.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"))
-    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(sums, "vec_id", "left").join(labels.select(F.col("id").alias("vec_id"), "component"), "vec_id", "left")
+    named = per_row.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("vec_id", F.coalesce("component", "rep").alias("c"))
+    component = named.join(named.groupBy("c").agg(F.min("vec_id").alias("component")), "c").groupBy("vec_id").agg(F.min("component").alias("component"))
+    counts = per_row.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"))
+    if not repeated.isEmpty():
+        counts = _by_partner(rows, repeated, counts, threshold)
+    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(counts, "vec_id", "left").join(component, "vec_id", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
 
 
+def _by_partner(rows: DataFrame, repeated: DataFrame, counts: DataFrame, threshold: float) -> DataFrame:
+    """``counts`` (vec_id, n_links) with every partner counted once, where some vec_ids have several vectors.
+
+    The links of these are listed by comparison: one of them counts its
+    partners, and the others count each of them once instead of once a vector.
+    """
+    asked = rows.join(sized(repeated), "vec_id")
+    pairs = cut(_pairs(asked, rows, threshold).where("q <> p"), "graph-pairs")
+    both = pairs.distinct()
+    theirs = both.groupBy(F.col("q").alias("vec_id")).agg(F.count(F.lit(1)).alias("n_links"))
+    more = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("all")).join(both.groupBy("p").agg(F.count(F.lit(1)).alias("once")), "p").select(F.col("p").alias("vec_id"), (F.col("all") - F.col("once")).alias("more"))
+    single = counts.join(sized(repeated), "vec_id", "left_anti").join(more, "vec_id", "left")
+    return single.select("vec_id", (F.col("n_links") - F.coalesce("more", F.lit(0))).alias("n_links")).unionByName(theirs)
+
+
+def _pairs(asked: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
+    """(q, p) for each vector of ``asked`` and each of ``rows`` of its label that are linked, block against block."""
+    sizes = rows.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")).join(asked.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts")), "label")
+    sizes = sized(cut(sizes, "pairs-sizes"))
+    key = ["label", "block", "part"]
+    nodes = rows.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), "blocks").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    queries = asked.join(sizes, "label").withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    every = nodes.select(*key, "vec_id", "v", F.lit(True).alias("node")).unionByName(queries.select(*key, "vec_id", "v", F.lit(False).alias("node")))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        held, wanted = frame[frame["node"]], frame[~frame["node"]]
+        out = []
+        if len(held) and len(wanted):
+            x, ids = unit(np.stack(held["v"])), held["vec_id"].to_numpy()
+            near = compare(x, unit(np.stack(wanted["v"])), np.full(len(wanted), -1), threshold)
+            out = [pd.DataFrame({"q": i, "p": ids[hits]}) for i, hits in zip(wanted["vec_id"], near)]
+        return pd.concat(out) if out else pd.DataFrame({"q": pd.Series(dtype="int64"), "p": pd.Series(dtype="int64")})
+
+    return every.groupBy(*key).applyInPandas(run, "q long, p long")
+
+
 def _search_all(members: DataFrame, beam: int | None, threshold: float) -> DataFrame:
     """label, rep, n_links and head: parts of the link counts of all distinct vectors, and links (rep, head) enough to join what was found.
 
@@ -328,12 +372,12 @@ def true_links(rows: DataFrame, threshold: float) -> DataFrame:
 def audit(true: DataFrame, counts: DataFrame) -> tuple[float, DataFrame]:
     """Mean share of its links that an audited vector has, and the labels that fall short.
 
-    Each vector counts once, however many links it has. A label falls short by
+    Each vector counts once, however many links it has, and links that are not there count against it. A label falls short by
     its mean, or by the mean of one stratum of link counts (from a power of
     two to the next), so a dense group cannot hide what others lost.
     """
     found = true.join(counts.groupBy("label", "vec_id").agg(F.sum("n_links").alias("k")), ["label", "vec_id"])
-    strata = found.groupBy("label", F.floor(F.log2("n")).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.least("n", "k") / F.col("n")).alias("r"))
+    strata = found.groupBy("label", F.floor(F.log2("n")).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.lit(0.0), 1 - F.abs(F.col("n") - F.col("k")) / F.col("n"))).alias("r"))
     judged = F.min(F.when(F.col("n") >= STRATUM_LEAST, F.col("r") / F.col("n")))
     labels = cut(strata.groupBy("label").agg(judged.alias("least"), F.sum("n").alias("n"), F.sum("r").alias("r")), "audit-labels")
     total = labels.agg(F.sum("n").alias("n"), F.sum("r").alias("r")).first()
