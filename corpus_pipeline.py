@@ -54,7 +54,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or left out so that domains have their target shares; clean text is never thinned."""
+    """Documents are repeated or left out so that domains have their target shares. Clean text as a whole is not thinned: its expected tokens stay, though a text that is partly like junk may go."""
     labelled = soft_mixing.label_domains(table(spark, sf_dir, "labels"))
     rates = soft_mixing.mix(docs, labelled, TARGETS, keep="clean")
     return soft_mixing.resample(docs, rates)

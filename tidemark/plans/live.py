@@ -73,13 +73,14 @@ def candidates(spark: SparkSession, source: Source, report: Report | None = None
     """The distinct artifact names to look for (name), with what could not be read in ``report``."""
     if source.mode == "trial":
         return spark.createDataFrame([(n,) for n in source.trial], "name string").distinct()
-    observed = Observation()
-    found = universe_names(_look_texts(spark, source), source.universes, observed)
-    path = f"{source.work}/names-{uuid.uuid4().hex}"
-    found.write.parquet(path)
-    if report is not None and source.universes:
-        report.universes = {k: v for k, v in observed.get.items() if v}
-    names = spark.read.schema("universe string, name string").parquet(path)
+    names = spark.createDataFrame([], "universe string, name string")
+    if source.universes:
+        observed = Observation()
+        path = f"{source.work}/names-{uuid.uuid4().hex}"
+        universe_names(_look_texts(spark, source), source.universes, observed).write.parquet(path)
+        if report is not None:
+            report.universes = {k: v for k, v in observed.get.items() if v}
+        names = spark.read.schema(names.schema).parquet(path)
     parts = [N.prefixed(names.where(F.col("universe") == u), namespace) for u, namespace in sorted(source.namespaces.items())]
     parts.append(spark.createDataFrame([(n,) for n in source.extras], "name string"))
     return reduce(DataFrame.union, parts).distinct()
