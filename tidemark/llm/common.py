@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_DIR:
             _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
