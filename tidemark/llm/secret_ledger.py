@@ -168,3 +168,23 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(clean, F.col("n_chars")).otherwise(F.length(new).cast("long"))
     return rows.withColumns(changed).select(*docs.columns)
+
+
+def history_findings(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """path, version, blob (hex), kind, start and end of every secret in every version of every path.
+
+    ``versions`` has path, version and text. The ledger stays between calls, so a
+    call scans the blobs that no earlier one has seen, and those that a changed
+    rule has not; what is known goes back to all paths that ever had the blob. A
+    null text is empty; equal rows have their findings once.
+    """
+    spark = versions.sparkSession
+    scan(versions, ledger_path, rules)
+    ids = versions.select("path", "version", blob_id(F.col("text")).alias("blob")).distinct()
+    if _ledger(spark, ledger_path) is None:
+        found = spark.createDataFrame([], T.StructType([LEDGER["blob"], LEDGER["spans"]]))
+    else:
+        found = findings(spark, ledger_path, rules)
+    kinds = F.array(*(F.lit(r.kind) for r in rules))
+    rows = ids.join(found, "blob").select("path", "version", F.lower(F.hex("blob")).alias("blob"), F.explode("spans").alias("s"))
+    return rows.select("path", "version", "blob", F.element_at(kinds, F.col("s.kind") + 1).alias("kind"), "s.start", "s.end")
