@@ -1,16 +1,19 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field.
 
-The field is trained from a small labelled table over word-shape features and
-decoded by Viterbi in numpy batches. It tags runs of marked words (words that
-hold a digit, ``@`` or ``+``); other words can only be outside. Its spans are
-added to those of the patterns where they overlap none of them, for example
-telephone numbers without a leading plus.
+The field is trained from a small labelled table (``pii_lines.txt``: lines of
+words with the spans in braces) over word-shape features and decoded by Viterbi
+in numpy batches. It reads the words near a cue (a digit, ``@``, ``+`` or a word
+that spells one of the signs of an address) and tags first and later words of a
+span apart, so neighbours stay two spans. Its spans are checked (digits, Luhn's
+sum) and added to those of the patterns where they overlap none of them: written
+out addresses, national telephone numbers, cards beside other numbers.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_columns
 
 KINDS = ("email", "ip", "card", "phone")
-TAGS = ("other", *KINDS)
+#: No span, the first word of a span of each kind, and its further words.
+TAGS = ("other", *KINDS, *(f"more {k}" for k in KINDS))
 
 # The patterns. Possessive repeats only keep them linear: what follows a run can
 # never be inside the run.
@@ -30,89 +34,81 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@+]")
+#: Words that spell a sign of an address, and words that hold a digit, ``@`` or ``+``.
+_CUE = re.compile(r"[0-9@+]|[(\[]|(?i:\b(?:dot|punkt|punto|point)\b)")
+#: Words read on either side of a cue.
+NEAR = 4
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 Span = tuple[str, int, int]
 
-#: The labelled table: lines of words, with the spans of each kind in brackets.
-LABELLED = """
-call me on [phone +1 (212) 555-0142] today
-phone [phone 212-555-0187] or write
-tel. [phone (030) 555-0199] in the office
-fax [phone (044) 555 01 23] is out
-his number is [phone 415-555-0110.]
-reach us at [phone +49 30 5550 1234] any time
-[phone (017) 555-7713] is her line
-mobile: [phone 0171 555 7713] please
-write to [email jane.doe@mail.example.org] soon
-mail [email bob99@example.com,] thanks
-contact: [email x.y+z@sub.example.net]
-from [ip 10.20.30.40] to the gate
-host [ip 192.168.7.1] answered
-the server [ip 172.16.254.3:] up
-card [card 4111 1111 1111 1111] was charged
-visa [card 4012888888881881] ok
-pay with [card 5500-0000-0000-0004] now
-amex [card 378282246310005] expires soon
-in 1999 there were 250 of them
-version 1.2.3 came on 2021-04-05 at 12:30
-about 3.14 or 1,234.50 euros
-order 98079157628 and 0810992847249404 arrived
-id 1202020 of 77
-serial 7713002519284410 was sold
-the number 0810992847249404 is a lot
-the 4736 and 12 and 5 of it
-token = "04dbebab91ab85687d33eeaaf9ac69" here
-key 9b0b3c6a43eb78aa99cbd7049c572391524f37a8 here
-pages 12-15 and 200-230 of 2020
-room 12b, floor 3, 2nd door
-a+b and c++ and 50% off
-@home he wrote @you
-license version 2.0, january 2004
-9780306406157 is the book
-lot 20240131 of 100000 units
-score 3-2 after 90 minutes in 2018
-section 4.2.1.7 says 10.5
-1 2 3 4 5 6
-sum 555 0100 200 300
-""".strip().split("\n")
+#: The labelled table.
+LABELLED = Path(__file__).with_name("pii_lines.txt")
 
 
 def labelled_words(line: str) -> tuple[list[str], list[int]]:
     """Words of a labelled line and the number of each word's tag."""
-    words, tags, now = [], [], 0
+    words, tags, now, more = [], [], 0, 0
     for word in line.split():
-        if word[0] == "[" and word[1:] in KINDS:
-            now = TAGS.index(word[1:])
+        if word[0] == "{" and word[1:] in KINDS:
+            now, more = TAGS.index(word[1:]), 0
             continue
-        words.append(word.removesuffix("]") if now else word)
-        tags.append(now)
-        if word.endswith("]"):
-            now = 0
+        words.append(word.removesuffix("}") if now else word)
+        tags.append(now + more)
+        more = len(KINDS) if now else 0
+        if now and word.endswith("}"):
+            now, more = 0, 0
     return words, tags
 
 
+_EDGES = ".,;:!?\"'"
+
+
 def _shape(word: str) -> str:
+    """Signs as they are; runs of digits, capitals and other letters as one sign each."""
     out = []
     for c in word:
         s = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
         if not out or out[-1] != s or s not in "9Aa":
             out.append(s)
-    return "".join(out[:24])
-
-
-def _features(words: list[str], i: int) -> list[str]:
-    word = words[i].strip(".,;:!?\"'")
-    shape, digits = _shape(word), sum(c.isdigit() for c in word)
-    lengths = "-".join(str(len(run)) for run in re.findall("[0-9]+", word)[:5])
-    before = _shape(words[i - 1]) if i else "^"
-    after = _shape(words[i + 1]) if i + 1 < len(words) else "$"
-    out = ["bias", f"shape={shape}", f"digits={min(digits, 20)}", f"before={before}|{shape}", f"after={shape}|{after}", f"runs={shape}|{lengths}"]
-    if "@" in word[1:]:
+    return "".join(out)
+
+
+def _looks(word: str) -> tuple[str, str]:
+    """A word by its shape, and by itself (small letters) where it has no digit."""
+    core = word.strip(_EDGES) or word
+    return _shape(core), "" if _MARK.search(core) else core.lower()
+
+
+def _features(looks: list[tuple[str, str]], words: list[str], i: int) -> list[str]:
+    edge = ("^", "^")
+    (shape, own), before, after = looks[i], looks[i - 1] if i else edge, looks[i + 1] if i + 1 < len(words) else edge
+    out = ["bias", f"shape={shape}", f"before={before[0]}|{shape}", f"after={shape}|{after[0]}"]
+    runs = [len(run) for run in re.findall("[0-9]+", words[i])]
+    if runs:
+        lengths = "-".join(map(str, runs))
+        sides = [sum(c.isdigit() for c in words[j]) if 0 <= j < len(words) else -1 for j in (i - 1, i + 1)]
+        out += [f"digits={sum(runs)}", f"runs={shape}|{lengths}", f"sides={sides[0]}|{lengths}|{sides[1]}", f"left={sides[0]}|{lengths}", f"right={lengths}|{sides[1]}", f"first={words[i].lstrip('(+')[:1]}|{lengths}"]
+    else:
+        out.append(f"word={own}")
+    if before[1]:
+        out.append(f"word before={before[1]}")
+        if not runs and i > 1:
+            out.append(f"words before={looks[i - 2][1]}|{before[1]}")
+    if after[1]:
+        out.append(f"word after={after[1]}")
+        if not runs and i + 2 < len(words):
+            out.append(f"words after={after[1]}|{looks[i + 2][1]}")
+    if "@" in words[i][1:]:
         out.append("at")
     return out
 
 
+def features(words: list[str]) -> list[list[str]]:
+    looks = [_looks(w) for w in words]
+    return [_features(looks, words, i) for i in range(len(words))]
+
+
 class Crf:
     """Weights of a linear-chain field and its numpy inference."""
 
@@ -121,19 +117,14 @@ class Crf:
 
     def scores(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(TAGS)))
-        for i in range(len(words)):
-            for f in _features(words, i):
-                k = self.index.get(f)
-                if k is not None:
-                    out[i] += self.emit[k]
-            if not _MARK.search(words[i]):  # by construction outside
-                out[i, 1:] = -1e9
+        for i, names in enumerate(features(words)):
+            out[i] = self.emit[[k for f in names if (k := self.index.get(f)) is not None]].sum(axis=0)
         return out
 
     def decode(self, batch: np.ndarray) -> np.ndarray:
         """Best tags of equally long sequences: (n, length, tags) scores to (n, length)."""
         n, length, tags = batch.shape
-        best, back = batch[:, 0], np.zeros((n, length, tags), dtype=np.int64)
+        best, back = batch[:, 0], np.zeros((n, length, tags), dtype=np.int8)
         for t in range(1, length):
             paths = best[:, :, None] + self.step
             back[:, t] = paths.argmax(axis=1)
@@ -145,42 +136,56 @@ class Crf:
         return out
 
 
-def train(labelled: list[str] = LABELLED, rounds: int = 150, rate: float = 0.5, decay: float = 1e-3) -> Crf:
-    """Maximise the regularised conditional likelihood of the table by gradient ascent."""
-    rows, index = [], {}
-    for line in labelled:
+def allowed() -> np.ndarray:
+    """0 where a tag may follow another: further words of a kind follow words of the kind."""
+    out = np.zeros((len(TAGS), len(TAGS)))
+    for k in range(1, len(KINDS) + 1):
+        out[:, k + len(KINDS)] = -1e4
+        out[[k, k + len(KINDS)], k + len(KINDS)] = 0
+    return out
+
+
+def train(lines: list[str] | None = None, rounds: int = 120, rate: float = 0.5, decay: float = 0.005) -> Crf:
+    """Maximise the regularised conditional likelihood of the table by gradient ascent.
+
+    Lines of equal length go through the forward and backward sums together.
+    """
+    index: dict[str, int] = {}
+    by_length: dict[int, list] = {}
+    for line in lines if lines is not None else LABELLED.read_text(encoding="utf-8").splitlines():
         words, gold = labelled_words(line)
-        feats = [[index.setdefault(f, len(index)) for f in _features(words, i)] for i in range(len(words))]
-        marked = [bool(_MARK.search(w)) for w in words]
-        rows.append((feats, marked, gold))
+        if words:
+            by_length.setdefault(len(words), []).append(([[index.setdefault(f, len(index)) for f in names] for names in features(words)], gold))
+    groups = []
+    for length, rows in by_length.items():
+        names = [f for feats, _ in rows for f in feats]
+        sizes = [len(f) for f in names]
+        gold = np.array([g for _, g in rows])
+        groups.append((length, np.concatenate([np.array(f) for f in names]), np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(names)), sizes), np.eye(len(TAGS))[gold], gold))
+    bars = allowed()
     emit, step = np.zeros((len(index), len(TAGS))), np.zeros((len(TAGS), len(TAGS)))
     grown_e, grown_s = np.full_like(emit, 1e-8), np.full_like(step, 1e-8)
     for _ in range(rounds):
-        ge, gs = -decay * emit, -decay * step
-        for feats, marked, gold in rows:
-            n = len(feats)
-            s = np.array([emit[f].sum(axis=0) for f in feats])
-            s[~np.array(marked), 1:] = -1e9
-            fwd, bwd = np.zeros_like(s), np.zeros_like(s)
-            fwd[0] = s[0]
-            for t in range(1, n):
-                fwd[t] = s[t] + np.logaddexp.reduce(fwd[t - 1][:, None] + step, axis=0)
-            for t in range(n - 2, -1, -1):
-                bwd[t] = np.logaddexp.reduce(step + (s[t + 1] + bwd[t + 1])[None, :], axis=1)
-            z = np.logaddexp.reduce(fwd[-1])
-            p = np.exp(fwd + bwd - z)
-            for t in range(n):
-                d = -p[t]
-                d[gold[t]] += 1
-                np.add.at(ge, feats[t], d)
-                if t:
-                    gs -= np.exp(fwd[t - 1][:, None] + step + (s[t] + bwd[t])[None, :] - z)
-                    gs[gold[t - 1], gold[t]] += 1
+        ge, gs, links = -decay * emit, -decay * step, step + bars
+        for length, cols, starts, places, hot, gold in groups:
+            n = len(gold)
+            s = np.add.reduceat(emit[cols], starts).reshape(n, length, len(TAGS))
+            fwd, bwd = s.copy(), np.zeros_like(s)
+            for t in range(1, length):
+                fwd[:, t] += np.logaddexp.reduce(fwd[:, t - 1, :, None] + links, axis=1)
+            for t in range(length - 2, -1, -1):
+                bwd[:, t] = np.logaddexp.reduce(links + (s[:, t + 1] + bwd[:, t + 1])[:, None, :], axis=2)
+            z = np.logaddexp.reduce(fwd[:, -1], axis=1)[:, None, None]
+            d = (hot - np.exp(fwd + bwd - z)).reshape(-1, len(TAGS))
+            np.add.at(ge, cols, d[places])
+            for t in range(1, length):
+                gs -= np.exp(fwd[:, t - 1, :, None] + links + (s[:, t] + bwd[:, t])[:, None, :] - z).sum(axis=0)
+                np.add.at(gs, (gold[:, t - 1], gold[:, t]), 1)
         grown_e += ge**2
         grown_s += gs**2
         emit += rate * ge / np.sqrt(grown_e)
         step += rate * gs / np.sqrt(grown_s)
-    return Crf(index, emit, step)
+    return Crf(index, emit, step + bars)
 
 
 def _luhn(digits: str) -> bool:
@@ -221,27 +226,45 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _runs(text: str) -> list[list[tuple[str, int, int]]]:
-    """Runs of marked words on a line, with the words right beside them."""
-    words = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(text)]
-    marked = [bool(_MARK.search(w)) for w, _, _ in words]
-    out, i = [], 0
-    while i < len(words):
-        if not marked[i]:
-            i += 1
+    """Stretches of words near a cue, within a line."""
+    out: list[list[tuple[str, int, int]]] = []
+    for line in re.finditer(r"[^\n]+", text):
+        if not _CUE.search(line.group()):
             continue
-        j = i + 1
-        while j < len(words) and marked[j] and "\n" not in text[words[j - 1][2] : words[j][1]]:
-            j += 1
-        out.append(words[max(0, i - 1) : j + 1])
-        i = j
+        words = [(m.group(), m.start() + line.start(), m.end() + line.start()) for m in _WORD.finditer(line.group())]
+        upto = 0
+        for i, (word, _, _) in enumerate(words):
+            if _CUE.search(word):
+                if i - NEAR > upto or not upto:
+                    out.append([])
+                    upto = max(0, i - NEAR)
+                end = min(len(words), i + NEAR + 1)
+                out[-1] += words[upto:end]
+                upto = end
     return out
 
 
+_TRIM = ".,;:!?\"'#*$%&|<>="
+
+
+def _holds(kind: str, text: str) -> bool:
+    """Whether a tagged span can be of its kind."""
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    if kind == "phone":
+        return 7 <= len(digits) <= 15
+    if kind == "ip":
+        parts = re.findall("[0-9]+", text)
+        return len(parts) in (4, 5) and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[:4])
+    return bool(re.search(r"[A-Za-z0-9]", text)) and bool(re.search(r"@|(?i:\b(?:at|a|arroba|arobase)\b)", text))
+
+
 def crf_spans(crf: Crf, texts: list[str]) -> list[list[Span]]:
     """Spans that the field finds in each text; runs of one length are decoded together."""
     by_length: dict[int, list[tuple[int, list]]] = {}
     for n, text in enumerate(texts):
-        if text and _MARK.search(text):
+        if text and _CUE.search(text):
             for run in _runs(text):
                 by_length.setdefault(len(run), []).append((n, run))
     out: list[list[Span]] = [[] for _ in texts]
@@ -250,16 +273,16 @@ def crf_spans(crf: Crf, texts: list[str]) -> list[list[Span]]:
         for (n, run), path in zip(runs, tags):
             i = 0
             while i < len(run):
-                j = i + 1
-                while j < len(run) and path[j] == path[i]:
+                j, tag = i + 1, path[i]
+                while tag and j < len(run) and path[j] == tag + len(KINDS):
                     j += 1
-                if path[i]:
+                if 0 < tag <= len(KINDS):
                     start, end = run[i][1], run[j - 1][2]
                     inner = texts[n][start:end]
-                    start += len(inner) - len(inner.lstrip(".,;:!?\"'#*$%&|<>="))
-                    end -= len(inner) - len(inner.rstrip(".,;:!?\"'#*$%&|<>="))
-                    if start < end:
-                        out[n].append((TAGS[path[i]], start, end))
+                    start += len(inner) - len(inner.lstrip(_TRIM))
+                    end -= len(inner) - len(inner.rstrip(_TRIM))
+                    if start < end and _holds(KINDS[tag - 1], texts[n][start:end]):
+                        out[n].append((KINDS[tag - 1], start, end))
                 i = j
     return out
 
