@@ -35,6 +35,8 @@ _HEAD = struct.Struct("<4sIQ")
 _LEVEL = struct.Struct("<QQQ")
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
+#: UTF-8 bytes of text in a range of doc_id, on average.
+PART_BYTES = 128 << 20
 #: Tokens after which a segment is closed; a longer document has one of its own.
 SEGMENT_TOKENS = 1 << 18
 #: Distinct text pieces remembered by one Python worker, and the longest of them.
@@ -221,6 +223,12 @@ _SEGMENTS = pa.schema([("part", pa.int64()), ("seg", pa.int64()), ("n_tokens", p
 _SEGMENTS_DDL = "part long, seg long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
+def range_parts(docs: DataFrame) -> int:
+    """Ranges of doc_id: the session's shuffle partitions, more where a range would exceed ``PART_BYTES`` of text."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Encode ``docs`` and write their segments to ``path``, ascending by doc_id.
 
@@ -254,7 +262,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
         if held:
             yield close()
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = range_parts(docs)
     (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange(n, "doc_id", F.xxhash64("text"))
