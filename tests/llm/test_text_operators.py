@@ -154,14 +154,15 @@ def brute_limits(measured):
     def limit(rows, m, parent):
         top, size, event = adaptive_quality.MEASURES[m]
         raised = event / max(1, rank([r[size] for r in rows], 0.5))
-        values = [rank([r[m] for r in rows], q) + raised for q in adaptive_quality.RANKS]
+        odds = lambda v: (v + raised) / (1 - v + raised)
+        values = [odds(rank([r[m] for r in rows], q)) for q in adaptive_quality.RANKS]
         wide, middle = max((b / a, math.sqrt(a * b)) for a, b in zip(values, values[1:]))
-        free = middle if wide >= adaptive_quality.WIDE else values[-1] * adaptive_quality.WIDE
-        if parent is None:
-            return free - raised
-        n = len(rows)
-        drawn = math.exp((n * math.log(free) + adaptive_quality.ALIKE * math.log(parent + raised)) / (n + adaptive_quality.ALIKE)) - raised
-        return min(drawn, max(parent, values[0] * adaptive_quality.WIDE - raised))
+        limit = middle if wide >= adaptive_quality.WIDE else values[-1] * adaptive_quality.WIDE
+        if parent is not None:
+            n = len(rows)
+            drawn = math.exp((n * math.log(limit) + adaptive_quality.ALIKE * math.log(odds(parent))) / (n + adaptive_quality.ALIKE))
+            limit = min(drawn, max(odds(parent), values[0] * adaptive_quality.WIDE))
+        return min((limit * (1 + raised) - raised) / (1 + limit), 1 / (1 + raised))
 
     out = {}
     for m in adaptive_quality.MEASURES:
@@ -185,6 +186,31 @@ def test_thresholds_and_verdicts_equal_plain_quantiles(spark):
     assert {r.doc_id: r.kept for r in adaptive_quality.judge(docs).collect()} == kept and len(set(kept.values())) == 2
 
 
+def test_no_limit_passes_a_whole_text(spark):
+    """On real tables every limit is below the largest value of its measure, and below the base rule's for repeats in most groups."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    limits = adaptive_quality.thresholds(adaptive_quality._with_ratios(adaptive_quality.measure_table(docs))).collect()
+    assert limits and all(0 < r[f"max_{m}"] < 1 for r in limits for m in adaptive_quality.MEASURES)
+    assert sum(r.max_repeats < 0.5 for r in limits) > 0.5 * len(limits)
+
+
+def test_measures_other_than_symbols_decide_and_no_fixed_cutoff_does(spark):
+    """Capitals of half a text are usual in one source and fail in the other."""
+    rnd = random.Random(12)
+
+    def text(loud):
+        words = data.prose(rnd, 90).split(" ")
+        return " ".join(w.upper() if rnd.random() < loud else w for w in words)
+
+    lines = "\n".join([data.prose(rnd, 60), *["ja nein"] * 29])
+    rows = [(i, text(0.5), "shop") for i in range(300)] + [(1000 + i, text(0.0), "news") for i in range(1200)]
+    rows += [(5000, text(0.5), "news"), (5001, text(1.0), "news"), (5002, text(0.4), "shop")]
+    docs = spark.createDataFrame([(i, t, "de", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in adaptive_quality.judge(docs).collect()}
+    assert {i for i, kept in got.items() if not kept} == {5000, 5001}
+    assert adaptive_quality.measures(lines)[6] == 56 and adaptive_quality.measures("a b\na b\n\na  b")[6] == 2
+
+
 # -- secrets ----------------------------------------------------------------
 
 _ASSIGN = re.compile("((?:" + "|".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key")) + r"))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")

@@ -5,7 +5,9 @@ mergeable quantile sketch of every measure is kept over the documents that pass
 the base rule; sketches of groups are merged into those of their language, and
 these into one of the whole table. Junk shows as a cluster that a wide gap in
 the upper quantiles parts from the bulk: the threshold lies in the widest gap,
-or beyond the last quantile where no gap is wide. A group's threshold is drawn
+or beyond the last quantile where no gap is wide. Gaps are measured in odds (what
+is counted over what is not), so that a threshold never passes the whole of a
+text. A group's threshold is drawn
 towards its language's by its number of documents, and may exceed it only as
 far as the group's median does, so a group full of junk cannot switch a rule
 off; a language's follows the table's likewise. The thresholds reach the
@@ -24,11 +26,12 @@ from tidemark.llm.common import cut, map_columns
 #: The symbols of the contract, and ASCII white space.
 SYMBOLS, BLANKS, CAPITALS = b"#*$%&|<>", (" ", "\t", "\n", "\x0b", "\x0c", "\r"), b"ABCDEFGHIJKLMNOPQRSTUVWXYZ!"
 
-#: Measures: what is counted, in what, and how much a single event counts (a repeated window is six words at least).
-MEASURES = {"symbols": ("n_symbols", "word_chars", 1), "repeats": ("n_repeat_words", "n_words", 6), "shouting": ("n_capitals", "word_chars", 1), "dup_lines": ("n_dup_lines", "n_lines", 1)}
+#: Measures: what is counted, in what, and how much a single event counts (a repeated window is six words at least;
+#: repeated lines count by their words, as texts have few lines).
+MEASURES = {"symbols": ("n_symbols", "word_chars", 1), "repeats": ("n_repeat_words", "n_words", 6), "shouting": ("n_capitals", "word_chars", 1), "dup_lines": ("n_dup_words", "n_words", 6)}
 #: Ranks between which gaps are looked for.
 RANKS = (0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.925, 0.95, 0.97, 0.98, 0.99, 0.995)
-#: A gap is wide if values, raised by one event in a text of median size, grow this many times over it.
+#: A gap is wide if the odds, with one event in a text of median size added to both sides, grow this many times over it.
 WIDE = 4.0
 #: Documents at which a group's own threshold and its parent's weigh alike.
 ALIKE = 50
@@ -37,7 +40,7 @@ SKETCH_K = 400
 
 
 def measures(text: str | None) -> tuple[int, ...]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines of a text (null: empty)."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_dup_words of a text (null: empty)."""
     text = text or ""
     data = text.encode()
     words = data.split()  # bytes split at exactly \x20 and \x09-\x0D
@@ -49,10 +52,16 @@ def measures(text: str | None) -> tuple[int, ...]:
         len(lines) - len(set(lines)),
         repeated_words(words),
         len(data) - len(data.translate(None, CAPITALS)),
-        len(lines),
+        duplicate_words(lines),
     )
 
 
+def duplicate_words(lines: list[bytes]) -> int:
+    """Words of the lines that equal an earlier line."""
+    seen: set[bytes] = set()
+    return sum(len(x.split()) for x in lines if x in seen or seen.add(x))
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside three-word windows that the text has at least twice."""
     if len(words) < 4:
@@ -80,7 +89,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 def measure_table(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source and the counts of every document."""
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_dup_words"]
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), *((n, pa.int64()) for n in names)])
 
     def rows(keys: list, langs: list, sources: list, texts: list) -> list:
@@ -104,15 +113,17 @@ def _limit(m: str, own: str, parent: Column | None) -> Column:
     """Threshold of measure ``m`` from the sketches in columns that begin with ``own``."""
     _, size, event = MEASURES[m]
     raised = event / F.greatest(F.kll_sketch_get_quantile_bigint(F.col(f"{own}{size}"), F.lit(0.5)), F.lit(1))
-    values = F.transform(F.kll_sketch_get_quantile_double(F.col(f"{own}{m}"), F.array(*map(F.lit, RANKS))), lambda v: v + raised)
+    odds = lambda v: (v + raised) / (1 - v + raised)
+    values = F.transform(F.kll_sketch_get_quantile_double(F.col(f"{own}{m}"), F.array(*map(F.lit, RANKS))), odds)
     gaps = F.zip_with(F.slice(values, 1, len(RANKS) - 1), F.slice(values, 2, len(RANKS) - 1), lambda low, high: F.struct((high / low).alias("wide"), F.sqrt(low * high).alias("middle")))
     widest = F.array_max(gaps)
     free = F.when(widest["wide"] >= WIDE, widest["middle"]).otherwise(F.element_at(values, -1) * WIDE)
-    if parent is None:
-        return free - raised
-    n = F.col(f"{own}n")
-    drawn = F.exp((n * F.log(free) + ALIKE * F.log(parent + raised)) / (n + ALIKE)) - raised
-    return F.least(drawn, F.greatest(parent, F.element_at(values, 1) * WIDE - raised))
+    if parent is not None:
+        n, above = F.col(f"{own}n"), odds(parent)
+        drawn = F.exp((n * F.log(free) + ALIKE * F.log(above)) / (n + ALIKE))
+        free = F.least(drawn, F.greatest(above, F.element_at(values, 1) * WIDE))
+    # Back from odds, and below a text of median size that is all but one event.
+    return F.least((free * (1 + raised) - raised) / (1 + free), 1 / (1 + raised))
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
