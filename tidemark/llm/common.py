@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -125,6 +126,19 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def handing_back(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``run``, a generator for a Python worker, followed by ``give_back`` once its own values have gone, even if it is not read to its end."""
+
+    @functools.wraps(run)
+    def wrapped(*args) -> Iterator:
+        try:
+            yield from run(*args)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def map_columns(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str, rows: Callable[..., list]) -> DataFrame:
     """Apply ``rows`` to the named columns (as lists, the last one of text), some rows at a time, and return its columns.
 
@@ -137,7 +151,7 @@ def map_columns(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str,
             out = rows(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
             yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema)], schema=schema)
 
-    return df.select(*columns).mapInArrow(run, ddl)
+    return df.select(*columns).mapInArrow(handing_back(run), ddl)
 
 
 _SHIPPED: set[str] = set()

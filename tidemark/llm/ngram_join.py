@@ -30,7 +30,7 @@ components are exact.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, discard, give_back, sized, text_slices
+from tidemark.llm.common import cut, discard, give_back, handing_back, sized, text_slices
 from tidemark.llm.links import components
 from tidemark.llm.shingles import shingle_sets
 
@@ -86,7 +86,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
             keys = _keys(sets)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1])], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(handing_back(run), "doc_id long, n long, k1 long, k2 long")
 
 
 def _starts(ordered: np.ndarray) -> np.ndarray:
@@ -147,7 +147,6 @@ def _counted(table: pa.Table) -> pa.Table:
         for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
             told, counts = np.unique(keys[x:y], return_counts=True)
             replies.append((int(pack[x]), told.tobytes(), counts.astype(np.int32).tobytes(), None))
-    give_back()
     return pa.table([pa.array(list(col), f.type) for col, f in zip(zip(*replies), _REPLY)], schema=_REPLY) if replies else _REPLY.empty_table()
 
 
@@ -162,6 +161,18 @@ def _enough(table: pa.Table) -> pa.Table:
     return pa.table({"k1": mine[order][total >= need[order]]})
 
 
+def _each(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``run``, a function of a group, followed by ``give_back`` once its own values have gone."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def _screened(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
     """Keys (k1) of the sets that may have partners, copies apart."""
     buckets = max(1, -(-int(SCREEN * shingles) // POSTINGS))
@@ -187,9 +198,9 @@ def _screened(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
         if held:
             yield from flush()
 
-    packs = docs.where(F.col("doc_id").cast("long").isNotNull()).select("text").mapInArrow(run, "bucket int, pack long, postings boolean, a binary, b binary, c binary")
-    replies = packs.groupBy("bucket").applyInArrow(_counted, "pack long, a binary, b binary, c binary")
-    return replies.groupBy("pack").applyInArrow(_enough, "k1 long").distinct()
+    packs = docs.where(F.col("doc_id").cast("long").isNotNull()).select("text").mapInArrow(handing_back(run), "bucket int, pack long, postings boolean, a binary, b binary, c binary")
+    replies = packs.groupBy("bucket").applyInArrow(_each(_counted), "pack long, a binary, b binary, c binary")
+    return replies.groupBy("pack").applyInArrow(_each(_enough), "k1 long").distinct()
 
 
 def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -203,7 +214,7 @@ def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), _lists(sets)], schema=schema)
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return keyed.join(sized(ids), "rep", "left_semi").select("text").mapInArrow(run, "k1 long, k2 long, shingles array<long>")
+    return keyed.join(sized(ids), "rep", "left_semi").select("text").mapInArrow(handing_back(run), "k1 long, k2 long, shingles array<long>")
 
 
 def probed(found: int, wanted: np.ndarray, held: np.ndarray, need: int) -> bool:
@@ -233,7 +244,7 @@ def _probe(pairs: DataFrame) -> DataFrame:
             keep = [probed(f, w, h, n) for f, n, w, h in zip(*numbers, _arrays(batch.column(4)), _arrays(batch.column(5)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "found", "need", "wanted", "held").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "found", "need", "wanted", "held").mapInArrow(handing_back(run), "a long, b long")
 
 
 def _least_shared(n: Column, percent: int) -> Column:
@@ -352,7 +363,7 @@ def _searched(pairs: DataFrame, percent: int) -> DataFrame:
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(2)], schema=schema)
 
-    return pairs.select("a", "na", "ma", "least", "merge", "wanted", "postings").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "na", "ma", "least", "merge", "wanted", "postings").mapInArrow(handing_back(run), "a long, b long")
 
 
 def divide_skip(lists: DataFrame, percent: int) -> DataFrame:

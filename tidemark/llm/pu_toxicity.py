@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import handing_back
+
 #: Fixed value of the contract: scores from here on count as toxic.
 CUTOFF = 0.3
 #: Bounds of the training sample: confirmed toxic rows, and unlabelled rows.
@@ -167,7 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = marked.select("doc_id", F.lit("p").alias("kind")).unionByName(clean.select("doc_id", F.lit("n").alias("kind"))).unionByName(free.select("doc_id", F.lit("u").alias("kind")))
     # Bounded by the sample sizes, with one text for each id.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "kind").agg(F.min("text").alias("text"))
-    rows = texts.mapInPandas(_sampled, _SAMPLE).toArrow().sort_by("doc_id").combine_chunks()
+    rows = texts.mapInPandas(handing_back(_sampled), _SAMPLE).toArrow().sort_by("doc_id").combine_chunks()
     sets: dict[str, Rows] = {}
     keys = rows.column("k").combine_chunks()
     for kind, a, b in zip(rows.column("kind").to_pylist(), keys.offsets.to_pylist(), keys.offsets.to_pylist()[1:]):
@@ -184,9 +186,13 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[str], Column]:
     """A function from a text column to its score, by a model learned from ``docs``."""
     model = learn(docs, labels)
 
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            yield pa.array([model.score(t.as_py()) for t in texts], pa.float64())
+
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from handing_back(scores)(parts)
 
     return score
 
