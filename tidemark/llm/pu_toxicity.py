@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import handing_back
+from tidemark.llm.common import give_back, handing_back
 
 #: Fixed value of the contract: scores from here on count as toxic.
 CUTOFF = 0.3
@@ -35,6 +35,8 @@ LEAST_DOCS = 8
 START = 5
 #: How much each step of length 1 shrinks a weight, and the folds that the operating point is found in.
 SHRINK, FOLDS = 0.1, 3
+#: Entries of the sample that are summed at a time: no array of floats is as long as the sample.
+ENTRIES = 1 << 18
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -85,23 +87,41 @@ def risk(z: np.ndarray, n_p: int, prior: float) -> tuple[float, np.ndarray]:
     return prior * called_positive[:n_p].mean() + negative, slope
 
 
+def _sums(values: np.ndarray, index: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of ``values[index]`` over the runs of ``index`` that end at ``ends``, some runs at a time."""
+    out, i, at = np.zeros(len(ends)), 0, 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, at + ENTRIES, "right")))
+        run = np.repeat(np.arange(j - i), np.diff(ends[i:j], prepend=at))
+        out[i:j] = np.bincount(run, weights=values[index[at : ends[j - 1]]], minlength=j - i)
+        i, at = j, int(ends[j - 1])
+    return out
+
+
+def _places(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Where in the sorted ``keys`` a document's features are; those that are not there are left out."""
+    at = np.minimum(np.searchsorted(keys, doc), len(keys) - 1).astype(np.int32)
+    return at[keys[at] == doc]
+
+
 def fit(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 200, rate: float = 0.1) -> Model:
     """Minimise the non-negative risk by Adam over the whole sample, with shrinking weights."""
-    docs = [*positive, *unlabelled]
-    keys, seen = np.unique(np.concatenate(positive) if positive else np.zeros(0, np.int64), return_counts=True)
+    keys, seen = np.unique(np.concatenate(positive) if positive else np.zeros(0, np.uint32), return_counts=True)
     keys = keys[seen >= LEAST_DOCS]
     if not len(keys) or not unlabelled:
         return Model({}, -5.0)
-    rows, found = np.repeat(np.arange(len(docs)), [len(k) for k in docs]), np.concatenate(docs)
-    cols = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-    keep = keys[cols] == found
-    rows, cols = rows[keep], cols[keep]
-    n, m = len(docs), len(keys)
+    places = [_places(keys, d) for d in [*positive, *unlabelled]]
+    lengths, cols = np.array([len(p) for p in places]), np.concatenate(places)
+    del places
+    n, m = len(lengths), len(keys)
+    # The entries by document, and once more by feature; of equal features documents are in order.
+    doc_ends, key_ends = np.cumsum(lengths), np.cumsum(np.bincount(cols, minlength=m))
+    rows = np.repeat(np.arange(n, dtype=np.int32), lengths)[np.argsort(cols, kind="stable")]
     w, b = np.zeros(m), -2.0
     mean, square = np.zeros(m + 1), np.zeros(m + 1)
     for step in range(1, rounds + 1):
-        _, dz = risk(np.bincount(rows, weights=w[cols], minlength=n) + b, len(positive), prior)
-        g = np.append(np.bincount(cols, weights=dz[rows], minlength=m), dz.sum())
+        _, dz = risk(_sums(w, cols, doc_ends) + b, len(positive), prior)
+        g = np.append(_sums(dz, rows, key_ends), dz.sum())
         mean = 0.9 * mean + 0.1 * g
         square = 0.999 * square + 0.001 * g * g
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
@@ -141,12 +161,12 @@ def unseen_margins(positive: Rows, clean: Rows, unlabelled: Rows, prior: float)
     return toxic, fine
 
 
-_SAMPLE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("k", T.ArrayType(T.LongType()))])
+_SAMPLE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("k", T.BinaryType())])
 
 
 def _sampled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "kind": frame["kind"], "k": [sorted(features(t)) for t in frame["text"]]})
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "kind": frame["kind"], "k": [np.array(sorted(features(t)), "<u4").tobytes() for t in frame["text"]]})
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
@@ -154,8 +174,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     The samples are the rows of least doc_id hash, up to the stated bounds;
     the class prior is the share of toxic rows among all labelled rows of the
-    learning part. Rows with a null doc_id or label teach nothing.
+    learning part. Rows with a null doc_id or label teach nothing. What the
+    training took of the driver's memory goes back when it has ended.
     """
+    try:
+        return _learned(docs, labels)
+    finally:
+        give_back()
+
+
+def _learned(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     if not counts["p"]:
@@ -169,11 +197,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = marked.select("doc_id", F.lit("p").alias("kind")).unionByName(clean.select("doc_id", F.lit("n").alias("kind"))).unionByName(free.select("doc_id", F.lit("u").alias("kind")))
     # Bounded by the sample sizes, with one text for each id.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "kind").agg(F.min("text").alias("text"))
-    rows = texts.mapInPandas(handing_back(_sampled), _SAMPLE).toArrow().sort_by("doc_id").combine_chunks()
+    rows = texts.mapInPandas(handing_back(_sampled), _SAMPLE).toArrow()
+    kinds, keys = rows.column("kind").to_pylist(), rows.column("k")
     sets: dict[str, Rows] = {}
-    keys = rows.column("k").combine_chunks()
-    for kind, a, b in zip(rows.column("kind").to_pylist(), keys.offsets.to_pylist(), keys.offsets.to_pylist()[1:]):
-        sets.setdefault(kind, []).append(keys.values[a:b].to_numpy())
+    for i in np.argsort(rows.column("doc_id").to_numpy()).tolist():
+        sets.setdefault(kinds[i], []).append(np.frombuffer(keys[i].as_buffer(), "<u4"))
     positive, clean_rows, unlabelled = sets.get("p", []), sets.get("n", []), sets.get("u", [])
     if not unlabelled:  # a wholly labelled table: its own rows, without their labels, are the unlabelled text
         unlabelled = clean_rows + positive
